@@ -12,12 +12,12 @@ from re import escape
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tagledger.functions.text import decode_references
-
 # Attributes up to the end of a start tag; a '>' inside quotes does not end it.
 _ATTRIBUTES = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
 _SOME_ATTRIBUTES = r"""(?:[^>"']|"[^"]*"|'[^']*')*?"""
 _NAME_END = r"(?=[\s/>])"
+# A control character that no page text holds; drop_hidden removes it.
+MARK = "\u0001"
 
 
 @dataclass(frozen=True)
@@ -50,9 +50,18 @@ def starts_with_tag(html: Column, rule: TagRule) -> Column:
     return html.rlike("^" + rule.start)
 
 
+def _cut_before(html: Column, pattern: str) -> Column:
+    """Array of the text before the first match and the pieces each match begins.
+
+    Marks the matches and splits at the mark: a replacement keeps its compiled
+    pattern from row to row, a split by pattern compiles it for every row.
+    """
+    return F.split(F.regexp_replace(html, f"(?={pattern})", MARK), MARK)
+
+
 def split_at_starts(html: Column, rule: TagRule) -> Column:
-    """Pieces that begin at each start tag; the first may be what comes before any."""
-    return F.split(html, f"(?={rule.start})")
+    """The text before any start tag, then a piece from each start tag on."""
+    return _cut_before(html, rule.start)
 
 
 def from_first(html: Column, rule: TagRule) -> Column:
@@ -60,17 +69,21 @@ def from_first(html: Column, rule: TagRule) -> Column:
     return F.regexp_extract(html, f"(?s)({rule.start}.*)", 1)
 
 
-def whole_element(html: Column, tag: str) -> Column:
-    """The element ``html`` begins with, cut where its own end tag closes it.
+def cut_at_tags(html: Column, tag: str) -> Column:
+    """Pieces that each begin with a start or end tag of this name."""
+    return _cut_before(html, rf"</?(?i:{escape(tag)}){_NAME_END}")
+
+
+def first_element(pieces: Column) -> Column:
+    """The element that pieces of ``cut_at_tags`` begin with, up to its own end tag.
 
-    Counts start and end tags of the same name, so inner elements do not end it.
+    Counts start and end tags, so inner elements of the same name do not end it.
     An element that is never closed goes to the end of the text.
     """
-    pieces = F.split(html, rf"(?=</?(?i:{escape(tag)}){_NAME_END})")
 
     def step(acc: Column, piece: Column) -> Column:
-        depth = acc["depth"] + F.when(piece.startswith("</"), -1).otherwise(1)
-        inside = acc["open"] & (depth > 0)
+        depth = acc["depth"] + F.when(piece.startswith("</"), -1).when(piece == "", 0).otherwise(1)
+        inside = acc["open"] & ((depth > 0) | (piece == ""))
         return F.struct(
             depth.cast("int").alias("depth"),
             (acc["taken"] + inside.cast("int")).cast("int").alias("taken"),
@@ -88,9 +101,9 @@ def inner_html(element: Column) -> Column:
 
 
 def attribute(element: Column, name: str) -> Column:
-    """Value of an attribute of the element's start tag; ``''`` if it has none."""
+    """Value of an attribute of the element's start tag as written; ``''`` if it has none."""
     pattern = (
         rf"^<[A-Za-z]{_SOME_ATTRIBUTES}\s(?i:{escape(name)})\s*=\s*"
-        r"""(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+        r"""("[^"]*"|'[^']*'|[^\s"'>]+)"""
     )
-    return decode_references(F.concat(*[F.regexp_extract(element, pattern, g) for g in (1, 2, 3)]))
+    return F.regexp_replace(F.regexp_extract(element, pattern, 1), r"""^["']|["']$""", "")

@@ -50,7 +50,7 @@ CLOSED_REFERENCES = {
 }
 
 _COMMENT_SCRIPT_STYLE = (
-    r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
+    r"(?is)\x01|<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
 )
 ANY_TAG = r"""</?[A-Za-z](?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
 
@@ -108,11 +108,11 @@ def decode_references(text: Column) -> Column:
 
 
 def drop_hidden(html: Column) -> Column:
-    """Remove comments, scripts and styles, whose content is not page text."""
+    """Remove comments, scripts, styles and the mark character: none is page text."""
     return F.regexp_replace(html, _COMMENT_SCRIPT_STYLE, "")
 
 
 def element_text(inner: Column) -> Column:
     """Visible text: every text piece between tags is stripped, then joined."""
-    pieces = F.split(inner, ANY_TAG)
+    pieces = F.split(F.regexp_replace(inner, ANY_TAG, "\u0001"), "\u0001")
     return F.array_join(F.transform(pieces, lambda p: strip_text(decode_references(p))), "")

@@ -57,7 +57,7 @@ def lookup_join(
     how: str = "left",
     max_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Left join to a lookup table: broadcast it if its checked size allows.
+    """Join to a lookup table: broadcast it if its checked size allows.
 
     Beyond ``max_rows`` the planner joins by shuffle; adaptive execution splits
     the partitions of hot keys there.

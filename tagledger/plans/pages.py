@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tagledger.operators.heavy import lookup_join
 from tagledger.schemas import Slot
 from tagledger.session import stage
 from tagledger.sinks.bronze import write_bronze
@@ -33,12 +34,11 @@ def pages_to_bronze(
     seen = near.groupBy(*at).agg(F.lit(0).cast("bigint").alias("n"))
     counts = seen.unionByName(found).groupBy(*at).agg(F.sum("n").alias("n_records"))
     kept = cut_pages(counts, max_pages, listing)
-    # One row per listing and page number on the right, each matched at most once.
     right = kept.select(*[F.col(c).alias(f"_{c}") for c in at])
     same = F.lit(True)
     for c in at:
         same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
-    return as_bronze(parsed.join(right, same, "left_semi"), source)
+    return as_bronze(lookup_join(parsed, right, same, "left_semi"), source)
 
 
 def land_pages(

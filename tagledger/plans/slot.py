@@ -12,7 +12,7 @@ from tagledger.operators.checks import STAR_CHECKS, run_checks
 from tagledger.plans.silver import observed_silver
 from tagledger.plans.star import refresh_star
 from tagledger.schemas import SILVER, SLOT_PARTITIONS, Slot
-from tagledger.session import drop_scratch, pin_session
+from tagledger.session import pin_session, scratch_scope
 from tagledger.sinks.silver import Registration, register_partitions, replace_slot
 from tagledger.sources.bronze import read_bronze, slot_exists
 from tagledger.sources.silver import read_silver, staging
@@ -87,7 +87,7 @@ def run_slot(
     report = load_slot(spark, paths, slot, layout)
     if report.loaded:
         base = staging(read_silver(spark, paths.silver))
-        report.tables = refresh_star(base, paths.database, start, days, staging_as)
+        with scratch_scope(spark):
+            report.tables = refresh_star(base, paths.database, start, days, staging_as)
         report.checks = run_checks(report.tables, STAR_CHECKS).collect()
-        drop_scratch(spark)
     return report

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,6 +35,9 @@ def scratch_root(spark: SparkSession) -> str:
     return f"{named.rstrip('/')}/tagledger/{spark.sparkContext.applicationId}"
 
 
+_scope: ContextVar[list[str] | None] = ContextVar("tagledger_scope", default=None)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` under the scratch folder and read it back.
 
@@ -40,13 +46,22 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    opened = _scope.get()
+    if opened is not None:
+        opened.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_scratch(spark: SparkSession) -> bool:
-    """Remove this application's intermediate tables; call it after the last write."""
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return bool(fs.delete(path, True))
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove at the end what was staged inside; results must be stored by then."""
+    paths: list[str] = []
+    token = _scope.set(paths)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        for name in paths:
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -13,8 +13,8 @@ PARTITION_BATCH = 200
 
 
 def write_silver(df: DataFrame, root: str) -> None:
-    """Append, keeping what is there."""
-    df.write.mode("append").partitionBy(*SLOT_PARTITIONS).parquet(root)
+    """Append, keeping what is there; few files per partition, more for a hot one."""
+    df.hint("rebalance", *SLOT_PARTITIONS).write.mode("append").partitionBy(*SLOT_PARTITIONS).parquet(root)
 
 
 def replace_slot(df: DataFrame, root: str, slot: Slot) -> int:

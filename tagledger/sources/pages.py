@@ -2,23 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagledger.functions.markup import (
     TagRule,
     attribute,
+    cut_at_tags,
+    first_element,
     from_first,
     inner_html,
     split_at_starts,
     starts_with_tag,
-    whole_element,
 )
 from tagledger.functions.money import mrp_from_discount, parse_discount, parse_price, parse_rating
-from tagledger.functions.text import drop_hidden, element_text, resolve_url
+from tagledger.functions.text import decode_references, drop_hidden, element_text, resolve_url
 from tagledger.operators.heavy import lookup_join
 from tagledger.schemas import BRONZE_COLUMNS
 
@@ -37,6 +38,15 @@ class CardRules:
     rating: TagRule = field(default=TagRule("span", "sm-rating"))
 
 
+def _only(df: DataFrame, condition: Callable[[Column], Column]) -> DataFrame:
+    """Rows of ``df`` that fulfil ``condition``, tested on columns already computed.
+
+    A plain filter would be moved below the projections and there compute the
+    same text functions a second time.
+    """
+    return df.select(F.inline(F.filter(F.array(F.struct(*df.columns)), condition)))
+
+
 def extract_cards(
     pages: DataFrame,
     rules: CardRules,
@@ -53,17 +63,31 @@ def extract_cards(
         .select(*keep, F.explode(split_at_starts(F.col("_html"), rules.card)).alias("_segment"))
         .filter(starts_with_tag(F.col("_segment"), rules.card))
     )
-    cards = segments.select(*keep, whole_element(F.col("_segment"), rules.card.tag).alias("_card"))
+    # Each step is a projection of its own: a column used twice is computed once.
+    cut = segments.select(*keep, cut_at_tags(F.col("_segment"), rules.card.tag).alias("_pieces"))
+    cards = cut.select(*keep, first_element(F.col("_pieces")).alias("_card"))
     fields = {"name": rules.name, "price": rules.price, "discount": rules.discount, "rating": rules.rating}
-    tails = cards.select(*keep, *[from_first(F.col("_card"), r).alias(f"_{n}") for n, r in fields.items()])
-    elements = tails.filter(F.col("_name") != "").select(
-        *keep, *[whole_element(F.col(f"_{n}"), r.tag).alias(f"_{n}") for n, r in fields.items()]
+    tails = cards.select(*keep, *[from_first(F.col("_card"), r).alias(n) for n, r in fields.items()])
+    pieces = tails.select(*keep, *[cut_at_tags(F.col(n), r.tag).alias(n) for n, r in fields.items()])
+    elements = pieces.select(*keep, *[first_element(F.col(n)).alias(n) for n in fields])
+    texts = elements.select(
+        *keep,
+        (F.col("name") != "").alias("_named"),
+        attribute(F.col("name"), "href").alias("_href"),
+        *[inner_html(F.col(n)).alias(n) for n in fields],
     )
-    return elements.select(
+    decoded = texts.select(
         *keep,
-        element_text(inner_html(F.col("_name"))).alias("product_name"),
-        resolve_url(rules.base_url, attribute(F.col("_name"), "href")).alias("product_url"),
-        *[element_text(inner_html(F.col(f"_{n}"))).alias(f"{n}_text") for n in ("price", "discount", "rating")],
+        "_named",
+        element_text(F.col("name")).alias("product_name"),
+        decode_references(F.col("_href")).alias("_href"),
+        *[element_text(F.col(n)).alias(f"{n}_text") for n in ("price", "discount", "rating")],
+    )
+    cards_found = decoded.select(
+        "*", resolve_url(rules.base_url, F.col("_href")).alias("product_url")
+    )
+    return _only(cards_found, lambda card: card["_named"]).select(
+        *keep, "product_name", "product_url", "price_text", "discount_text", "rating_text"
     )
 
 
@@ -77,9 +101,11 @@ def card_records(cards: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         parse_discount(F.col("discount_text")).alias("discount_pct"),
         parse_rating(F.col("rating_text")).alias("rating"),
     )
-    named = F.length("product_name") > 0
-    priced = F.coalesce(F.col("current_price"), F.lit(0.0)) != 0
-    return parsed.filter(named & priced).select(
+
+    def complete(card: Column) -> Column:
+        return (F.length(card["product_name"]) > 0) & (F.coalesce(card["current_price"], F.lit(0.0)) != 0)
+
+    return _only(parsed, complete).select(
         *keep,
         "product_name",
         "product_url",
