@@ -34,17 +34,31 @@ def valid_rows(typed: DataFrame) -> DataFrame:
     return typed.filter(is_valid())
 
 
-def enrich(typed: DataFrame) -> DataFrame:
-    """Derived columns.  ``has_discount`` looks at the discount before nulls become 0."""
-    discount, rating = F.col("discount_pct"), F.col("rating")
+def fill_and_key(typed: DataFrame) -> DataFrame:
+    """Product key, and values for a missing discount and list price."""
     return typed.withColumns(
         {
             "product_id": product_id(F.col("product_name"), F.col("category")),
+            "discount_pct": F.coalesce(F.col("discount_pct"), F.lit(0)),
+            "mrp": F.coalesce(F.col("mrp"), F.col("current_price")),
+        }
+    )
+
+
+def derive(filled: DataFrame) -> DataFrame:
+    """Columns that follow from one other column each.
+
+    A missing discount counts as none whether it is null or already 0.
+    """
+    return filled.withColumns(
+        {
             "brand": first_word(F.col("product_name")),
-            "has_discount": F.coalesce(discount > 0, F.lit(False)),
-            "is_rating_available": F.coalesce(rating > 0, F.lit(False)),
+            "has_discount": F.coalesce(F.col("discount_pct") > 0, F.lit(False)),
+            "is_rating_available": F.coalesce(F.col("rating") > 0, F.lit(False)),
             "run_date": F.to_date("scraped_at"),
-            "discount_pct": F.coalesce(discount, F.lit(0)),
-            "mrp": F.coalesce(F.col("mrp"), F.col("current_price")),
         }
     )
+
+
+def enrich(typed: DataFrame) -> DataFrame:
+    return derive(fill_and_key(typed))

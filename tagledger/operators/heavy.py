@@ -32,11 +32,16 @@ def heavy_values(df: DataFrame, exprs: dict[str, Column], min_rows: int = HOT_RO
     sketches = narrow.groupBy("_group").agg(
         *[F.expr(f"approx_top_k_accumulate(`{n}`, {SKETCH_ITEMS})").alias(n) for n in exprs]
     )
-    merged = sketches.agg(*[F.expr(f"approx_top_k_combine(`{n}`, {SKETCH_ITEMS})").alias(n) for n in exprs])
+    # Grouped by one value, not ungrouped: an ungrouped merge fails on a partition without sketches.
+    merged = sketches.groupBy((F.col("_group") * 0).alias("_all")).agg(
+        *[F.expr(f"approx_top_k_combine(`{n}`, {SKETCH_ITEMS})").alias(n) for n in exprs]
+    )
     # One row of at most SKETCH_TOP values per expression comes to the driver.
     row = merged.select(*[F.expr(f"approx_top_k_estimate(`{n}`, {SKETCH_TOP})").alias(n) for n in exprs]).first()
+    if row is None:
+        return {n: [] for n in exprs}
     return {
-        n: [hit["item"] for hit in (row[n] or []) if hit["count"] >= min_rows and hit["item"] is not None]
+        n: [hit["item"] for hit in row[n] if hit["count"] >= min_rows and hit["item"] is not None]
         for n in exprs
     }
 

@@ -5,13 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tagledger.operators.conform import cast_types, enrich, is_valid
+from tagledger.operators.conform import cast_types, derive, fill_and_key, is_valid, valid_rows
 from tagledger.operators.dedupe import keep_one
 from tagledger.schemas import SILVER_COLUMNS, Slot
 
 VALID = "_valid"
 COPIES = "_copies"
 
+KEYS = ("product_id", "scraped_at")
+# The columns that are not derived from others; only these are sorted and shuffled.
+CARRIED = ("product_name", "product_url", "category", "current_price", "mrp", "discount_pct", "rating", "source")
+
+
+def build_silver(bronze: DataFrame, slot: Slot) -> DataFrame:
+    """Type, filter, enrich and deduplicate; one row per product and scrape time."""
+    keyed = fill_and_key(valid_rows(cast_types(bronze))).select(*KEYS, *CARRIED)
+    kept = derive(keep_one(keyed, KEYS))
+    return kept.withColumn("run_hour", F.lit(slot.run_hour)).select(*SILVER_COLUMNS)
+
 
 def counted_silver(bronze: DataFrame, slot: Slot) -> DataFrame:
     """Silver rows with the number of bronze rows behind each, plus one row for all invalid ones.
@@ -19,16 +30,11 @@ def counted_silver(bronze: DataFrame, slot: Slot) -> DataFrame:
     The counts are part of the rows, so they can be read in the stage that
     writes them: a stage that runs again after a lost executor does not count twice.
     """
-    flagged = enrich(cast_types(bronze)).withColumn(VALID, is_valid())
-    columns = [c for c in SILVER_COLUMNS if c != "run_hour"]
-    kept = [F.when(F.col(VALID), F.col(c)).alias(c) for c in columns]
-    merged = keep_one(flagged.select(VALID, *kept), [VALID, "product_id", "scraped_at"], COPIES)
-    return merged.select(VALID, COPIES, *columns, F.lit(slot.run_hour).alias("run_hour"))
-
-
-def build_silver(bronze: DataFrame, slot: Slot) -> DataFrame:
-    """Type, filter, enrich and deduplicate; one row per product and scrape time."""
-    return counted_silver(bronze, slot).filter(VALID).select(*SILVER_COLUMNS)
+    flagged = fill_and_key(cast_types(bronze)).withColumn(VALID, is_valid())
+    blank = [F.when(F.col(VALID), F.col(c)).alias(c) for c in (*KEYS, *CARRIED)]
+    merged = keep_one(flagged.select(VALID, *blank), (VALID, *KEYS), COPIES)
+    derived = derive(merged).withColumn("run_hour", F.lit(slot.run_hour))
+    return derived.select(VALID, COPIES, *SILVER_COLUMNS)
 
 
 def metric_columns() -> list:

@@ -6,16 +6,15 @@ from dataclasses import dataclass, field
 from datetime import date
 
 from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
 
 from tagledger.operators.checks import STAR_CHECKS, run_checks
 from tagledger.plans.silver import observed_silver
 from tagledger.plans.star import refresh_star
 from tagledger.schemas import SILVER, SLOT_PARTITIONS, Slot
-from tagledger.session import pin_session, scratch_scope
+from tagledger.session import pin_session, scratch_scope, shuffles_sized_for
 from tagledger.sinks.silver import Registration, register_partitions, replace_slot
 from tagledger.sources.bronze import read_bronze, slot_exists
-from tagledger.sources.silver import read_silver, staging
+from tagledger.sources.silver import read_silver, read_silver_slot, staging
 from tagledger.sources.spine import SPINE_DAYS, SPINE_START
 
 
@@ -65,10 +64,8 @@ def load_slot(spark: SparkSession, paths: Paths, slot: Slot, layout: str = "arra
     silver = observed_silver(bronze, slot, counts)
     report.off_slot_rows = replace_slot(silver, paths.silver, slot)
     report.metrics = dict(counts.get)
-    written = read_silver(spark, paths.silver).filter(
-        (F.col("run_date") == F.lit(slot.run_date)) & (F.col("run_hour") == slot.run_hour)
-    )
     create_silver_table(spark, paths.silver_table, paths.silver)
+    written = read_silver_slot(spark, paths.silver, slot)
     report.partitions = register_partitions(spark, paths.silver_table, written)
     return report
 
@@ -87,7 +84,7 @@ def run_slot(
     report = load_slot(spark, paths, slot, layout)
     if report.loaded:
         base = staging(read_silver(spark, paths.silver))
-        with scratch_scope(spark):
+        with scratch_scope(spark), shuffles_sized_for(spark, paths.silver):
             report.tables = refresh_star(base, paths.database, start, days, staging_as)
         report.checks = run_checks(report.tables, STAR_CHECKS).collect()
     return report

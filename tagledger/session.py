@@ -10,6 +10,10 @@ from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+PARTITION_BYTES = 256 << 20
+IN_MEMORY_GROWTH = 4  # bytes of rows for a byte of compressed columns
+MAX_PARTITIONS = 100_000
+
 
 def pin_session(spark: SparkSession) -> SparkSession:
     """Settings the results depend on: scraped_at is naive UTC."""
@@ -18,6 +22,37 @@ def pin_session(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def _hadoop_path(spark: SparkSession, name: str):
+    """The path and the file system it is on."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def any_file(spark: SparkSession, pattern: str) -> bool:
+    """Does the path pattern match anything?"""
+    path, fs = _hadoop_path(spark, pattern)
+    found = fs.globStatus(path)
+    return found is not None and len(found) > 0
+
+
+@contextmanager
+def shuffles_sized_for(spark: SparkSession, root: str) -> Iterator[int]:
+    """Raise the shuffle partition count to what the files under ``root`` need.
+
+    Adaptive execution merges partitions that turn out small; it cannot make
+    more of them, so a count that is too low means spills.
+    """
+    path, fs = _hadoop_path(spark, root)
+    wanted = int(fs.getContentSummary(path).getLength()) * IN_MEMORY_GROWTH // PARTITION_BYTES
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    count = max(int(before), min(wanted, MAX_PARTITIONS))
+    spark.conf.set("spark.sql.shuffle.partitions", str(count))
+    try:
+        yield count
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables: the session's ``spark.checkpoint.dir``.
 
@@ -63,5 +98,5 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
     finally:
         _scope.reset(token)
         for name in paths:
-            path = spark._jvm.org.apache.hadoop.fs.Path(name)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+            path, fs = _hadoop_path(spark, name)
+            fs.delete(path, True)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tagledger.schemas import BRONZE, Slot
+from tagledger.session import any_file
 
 
 def slot_glob(root: str, source: str, slot: Slot) -> str:
@@ -13,9 +14,7 @@ def slot_glob(root: str, source: str, slot: Slot) -> str:
 
 def slot_exists(spark: SparkSession, root: str, source: str, slot: Slot) -> bool:
     """Is there a file of the slot in any category?  Lists only the slot's folders."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(slot_glob(root, source, slot))
-    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
-    return found is not None and len(found) > 0
+    return any_file(spark, slot_glob(root, source, slot))
 
 
 def read_bronze(

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tagledger.schemas import SILVER, STAGING_COLUMNS
+from tagledger.schemas import SILVER, STAGING_COLUMNS, Slot
+from tagledger.session import any_file
 
 
 def read_silver(spark: SparkSession, root: str) -> DataFrame:
@@ -12,6 +13,15 @@ def read_silver(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(SILVER).parquet(root)
 
 
+def read_silver_slot(spark: SparkSession, root: str, slot: Slot) -> DataFrame:
+    """Silver rows of one slot; lists only the slot's folders, not the whole table."""
+    base = root.rstrip("/")
+    folders = f"{base}/category=*/run_date={slot.run_date}/run_hour={slot.run_hour}"
+    if not any_file(spark, folders):
+        return spark.createDataFrame([], SILVER)
+    return spark.read.schema(SILVER).option("basePath", base).parquet(folders)
+
+
 def staging(silver: DataFrame) -> DataFrame:
     """The column contract every model reads."""
     return silver.select(*STAGING_COLUMNS)

@@ -30,11 +30,24 @@ def rows(columns, values) -> Counter:
     return Counter(tuple((_kind(r[i]), _plain(r[i])) for i in at) for r in values)
 
 
+SQL_TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "timestamp": "TIMESTAMP",
+    "date": "DATE",
+    "boolean": "BOOLEAN",
+}
+
+
 def differences(df, connection, sql: str) -> list[str]:
     result = connection.execute(sql)
     names = [d[0] for d in result.description]
-    if sorted(names) != sorted(df.columns):
-        return [f"columns: {sorted(df.columns)} against {sorted(names)}"]
+    want_types = sorted((d[0], str(d[1])) for d in result.description)
+    got_types = sorted((n, SQL_TYPES[t]) for n, t in df.dtypes)
+    if want_types != got_types:
+        return [f"columns: {sorted(set(got_types) - set(want_types))} against {sorted(set(want_types) - set(got_types))}"]
     want = rows(names, result.fetchall())
     got = rows(df.columns, [tuple(r) for r in df.collect()])
     missing, extra = want - got, got - want
