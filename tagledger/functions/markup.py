@@ -12,12 +12,12 @@ from re import escape
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tagledger.functions.text import MARK
+
 # Attributes up to the end of a start tag; a '>' inside quotes does not end it.
 _ATTRIBUTES = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
 _SOME_ATTRIBUTES = r"""(?:[^>"']|"[^"]*"|'[^']*')*?"""
 _NAME_END = r"(?=[\s/>])"
-# A control character that no page text holds; drop_hidden removes it.
-MARK = "\u0001"
 
 
 @dataclass(frozen=True)

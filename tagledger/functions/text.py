@@ -49,9 +49,9 @@ CLOSED_REFERENCES = {
     "starf": "★",
 }
 
-_COMMENT_SCRIPT_STYLE = (
-    r"(?is)\x01|<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
-)
+# A control character that no page text holds; drop_hidden removes it.
+MARK = "\u0001"
+_HIDDEN = r"(?i)<(?:!--(?s:.*?)-->|script\b(?s:.*?)</script\s*>|style\b(?s:.*?)</style\s*>)"
 ANY_TAG = r"""</?[A-Za-z](?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
 
 
@@ -109,10 +109,10 @@ def decode_references(text: Column) -> Column:
 
 def drop_hidden(html: Column) -> Column:
     """Remove comments, scripts, styles and the mark character: none is page text."""
-    return F.regexp_replace(html, _COMMENT_SCRIPT_STYLE, "")
+    return F.regexp_replace(F.replace(html, F.lit(MARK), F.lit("")), _HIDDEN, "")
 
 
 def element_text(inner: Column) -> Column:
     """Visible text: every text piece between tags is stripped, then joined."""
-    pieces = F.split(F.regexp_replace(inner, ANY_TAG, "\u0001"), "\u0001")
+    pieces = F.split(F.regexp_replace(inner, ANY_TAG, MARK), MARK)
     return F.array_join(F.transform(pieces, lambda p: strip_text(decode_references(p))), "")

@@ -357,7 +357,7 @@ from silver""",
     "partitions_registered": _with(EVENTS, DEDUPED) + """
 select category, date '2024-01-01' as run_date, run_hour, count(*) as n_rows from silver group by all""",
     "materialize_full_refresh": _with(EVENTS, DEDUPED) + f"select {_STAGING} from silver",
-    "slot_pipeline": _with(
+    "slot_run_fact": _with(
         EVENTS,
         DEDUPED.replace("silver as (", "loaded as ("),
         """silver as (
@@ -370,7 +370,7 @@ select category, date '2024-01-01' as run_date, run_hour, count(*) as n_rows fro
         TREND,
         FACT,
     ) + f"select {_FACT_COLUMNS} from fact",
-    "pages_pipeline": _with(
+    "pages_to_silver": _with(
         CUT,
         """bronze as (
   select * exclude (category, page_num, scraped_at), 'parts' as category, 'shop' as source,

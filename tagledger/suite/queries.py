@@ -443,9 +443,9 @@ def materialize_full_refresh(spark, sf_dir):
 
 
 @query
-def slot_pipeline(spark, sf_dir):
+def slot_run_fact(spark, sf_dir):
     """Two slots and a replay of the second through the whole job; the stored fact."""
-    paths = Paths(_folder(spark, "bronze"), _folder(spark, "silver"), "events", _database(spark, "pipeline"))
+    paths = Paths(_folder(spark, "bronze"), _folder(spark, "silver"), "events", _database(spark, "run"))
     rows = events_bronze(spark, sf_dir)
     early = F.substring("scraped_at", 12, 2) < "12"
     write_bronze(rows.filter(early), paths.bronze, SLOT)
@@ -457,9 +457,9 @@ def slot_pipeline(spark, sf_dir):
 
 
 @query
-def pages_pipeline(spark, sf_dir):
+def pages_to_silver(spark, sf_dir):
     """Pages to bronze files to silver."""
     root = _folder(spark, "bronze")
-    slot = land_pages(listing_pages(spark, sf_dir).withColumn("listing", F.col("category")).withColumn(
-        "category", F.lit("parts")), SHOP_RULES, "shop", root, SLOT, 4, ["listing"])
+    pages = listing_pages(spark, sf_dir).withColumns({"listing": F.col("category"), "category": F.lit("parts")})
+    slot = land_pages(pages, SHOP_RULES, "shop", root, SLOT, max_pages=4, listing=["listing"])
     return build_silver(read_bronze(spark, root, "shop", slot, layout="lines"), slot)
