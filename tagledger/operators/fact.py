@@ -42,8 +42,10 @@ def star_join(staging: DataFrame, dims: Dims) -> DataFrame:
     return joined.select(*[c for c in FACT_COLUMNS if c not in ("snapshot_id", "previous_price", "price_change")])
 
 
-def add_trend(joined: DataFrame, hot: list | None = None) -> DataFrame:
-    lagged = previous_value(joined, "product_key", history_order(), "current_price", "previous_price", hot)
+def add_trend(joined: DataFrame, hot: list | None = None, spread_copies: bool = True) -> DataFrame:
+    lagged = previous_value(
+        joined, "product_key", history_order(), "current_price", "previous_price", hot, spread_copies=spread_copies
+    )
     return lagged.withColumn("price_change", F.col("current_price") - F.col("previous_price"))
 
 
@@ -58,4 +60,5 @@ def build_fact(staging: DataFrame, dims: Dims, hot_rows: int = HOT_ROWS) -> Data
     heavy = heavy_values(staging, {"product": F.col("product_id"), "repeated": repeated}, hot_rows)
     joined = star_join(staging, dims)
     numbered = global_row_number(joined, sequence_order(), "snapshot_id", spread_copies=bool(heavy["repeated"]))
-    return add_trend(numbered, heavy["product"]).select(*FACT_COLUMNS)
+    # Rows with a number of their own are not copies of each other any more.
+    return add_trend(numbered, heavy["product"], spread_copies=False).select(*FACT_COLUMNS)

@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 200_000
 
 # A key above this many rows is spread over several tasks.
-HOT_ROWS = 5_000_000
+HOT_ROWS = 10_000_000
 
-# The frequency sketch keeps this many counters: every key with more than about
-# 1/1500 of all rows is certain to be in it.
-SKETCH_ITEMS = 2_000
-SKETCH_TOP = 1_000
+# The frequency sketch keeps this many counters, at most about a megabyte: every
+# key with more than about 1/9000 of all rows is certain to be in it.
+SKETCH_ITEMS = 20_000
+SKETCH_TOP = 5_000
 SKETCH_GROUPS = 64
 
 

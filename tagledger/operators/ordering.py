@@ -38,8 +38,9 @@ def sorted_runs(
     placed = df.withColumn("_tie", F.xxhash64(*columns))
     by = [*order, F.col("_tie").asc()]
     if spread_copies:
-        total = [*by, *[c.asc_nulls_last() for c in columns]]
-        placed = placed.sortWithinPartitions(*total).withColumn("_copy", F.monotonically_increasing_id())
+        # Two hashes, 96 bits: rows that tie here are copies.
+        placed = placed.withColumn("_tie2", F.hash(*columns)).sortWithinPartitions(*by, "_tie2")
+        placed = placed.withColumn("_copy", F.monotonically_increasing_id())
         by = [*by, F.col("_copy").asc()]
     ranged = placed.repartitionByRange(*by).sortWithinPartitions(*by)
     numbered = ranged.withColumn("_at", F.monotonically_increasing_id()).select(

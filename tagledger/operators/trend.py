@@ -19,6 +19,7 @@ def previous_value(
     name: str,
     hot: list | None = None,
     hot_rows: int = HOT_ROWS,
+    spread_copies: bool = True,
 ) -> DataFrame:
     """``lag(value) over (partition by key order by …)``.
 
@@ -32,16 +33,18 @@ def previous_value(
         return _by_window(df, key, order, value, name)
     is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
     cool = _by_window(df.filter(~is_hot), key, order, value, name)
-    return cool.unionByName(_by_runs(df.filter(is_hot), key, order, value, name))
+    return cool.unionByName(_by_runs(df.filter(is_hot), key, order, value, name, spread_copies))
 
 
 def _by_window(df: DataFrame, key: str, order: Sequence[Column], value: str, name: str) -> DataFrame:
     return df.withColumn(name, F.lag(value).over(Window.partitionBy(key).orderBy(*order)))
 
 
-def _by_runs(df: DataFrame, key: str, order: Sequence[Column], value: str, name: str) -> DataFrame:
+def _by_runs(
+    df: DataFrame, key: str, order: Sequence[Column], value: str, name: str, spread_copies: bool
+) -> DataFrame:
     """Lag inside each sorted run; the first row of a run takes the last one before it."""
-    runs = sorted_runs(df, [F.col(key).asc_nulls_last(), *order], label="hot")
+    runs = sorted_runs(df, [F.col(key).asc_nulls_last(), *order], "hot", spread_copies)
     # A sorted table has at most (number of runs + number of hot keys) of these.
     lasts = runs.groupBy(RUN, key).agg(F.max_by(value, POSITION).alias("_last"))
     carried = F.lag("_last").over(Window.partitionBy(key).orderBy(RUN))

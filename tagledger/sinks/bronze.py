@@ -26,5 +26,5 @@ def write_bronze(df: DataFrame, root: str, slot: Slot | None = None) -> Slot:
         "hour": F.lit(slot.run_hour),
     }
     lines = df.select(body.alias("value"), *[c.alias(n) for n, c in folders.items()])
-    lines.write.mode("append").partitionBy(*folders).text(root)
+    lines.hint("rebalance", "source", "category").write.mode("append").partitionBy(*folders).text(root)
     return slot

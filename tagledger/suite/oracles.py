@@ -225,7 +225,7 @@ _SLOT_ROWS = _SILVER.replace("run_date", "date '2024-01-01' as run_date")
 ORACLES: dict[str, str] = {
     "silver_typed": _with(DIRTY) + "select * from bronze",
     "silver_valid": _with(DIRTY) + f"select * from bronze where {VALID}",
-    "silver_metrics_events": _metrics(DIRTY),
+    "silver_metrics": _metrics(DIRTY),
     "silver_metrics_lineitem": _metrics(LINEITEM),
     "silver_product_id": _with(LINEITEM) + """
 select product_url, product_name, c as category,
@@ -258,7 +258,7 @@ select cast(strftime(day, '%Y%m%d') as int) as date_key, day as full_date,
        cast(extract(quarter from day) as int) as quarter, cast(extract(year from day) as int) as year,
        extract(dow from day) in (0, 6) as is_weekend
 from spine""",
-    "number_series": """
+    "number_spine": """
 with digits as (select unnest([0, 1, 2, 3, 4, 5, 6, 7, 8, 9]) as d),
 numbers as (
   select cast(a.d + 10 * b.d + 100 * c.d + 1000 * e.d + 10000 * f.d + 100000 * g.d as bigint) as n
@@ -278,11 +278,11 @@ from (select product_id as product_key, scraped_at, run_date, run_hour, current_
 select l_orderkey, l_linenumber, l_partkey,
        try_cast(trim(replace(replace(' ' || format('₹{:,.2f}', l_extendedprice) || ' ', '₹', ''), ',', '')) as double) as price
 from lineitem""",
-    "parse_discount_text": f"""
+    "parse_discount": f"""
 select event_id, case when event_type not in ('error', 'view') then {K} end as discount_pct from events""",
-    "parse_rating_text": """
+    "parse_rating": """
 select event_id, case when event_type <> 'error' then cast(user_id % 6 as double) + 0.25 end as rating from events""",
-    "mrp_from_price_and_discount": _with(PARTS) + f"""
+    "mrp_from_discount": _with(PARTS) + f"""
 select l_orderkey, l_linenumber, l_partkey, price, pct, {MRP.format(pct='pct')} as mrp,
        {MRP.format(pct='(pct * 10)')} as mrp_tenfold, {MRP.format(pct='(pct * 12)')} as mrp_twelvefold
 from items""",
@@ -354,7 +354,7 @@ select {_SLOT_ROWS}, (select count(*) from silver) as deduped_rows,
        (select count(*) from bronze) as raw_rows, (select count(*) from bronze where {VALID}) as valid_rows,
        (select count(*) from silver where run_date is distinct from date '2024-01-01') as off_slot_rows
 from silver""",
-    "partitions_registered": _with(EVENTS, DEDUPED) + """
+    "register_partitions": _with(EVENTS, DEDUPED) + """
 select category, date '2024-01-01' as run_date, run_hour, count(*) as n_rows from silver group by all""",
     "materialize_full_refresh": _with(EVENTS, DEDUPED) + f"select {_STAGING} from silver",
     "slot_run_fact": _with(

@@ -52,11 +52,13 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(fn: Query) -> Query:
+    """Register ``fn`` under its name without the ``q_`` that tells it from an operator."""
+
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(pin_session(spark), sf_dir)
 
     run.__doc__ = fn.__doc__
-    QUERIES[fn.__name__] = run
+    QUERIES[fn.__name__.removeprefix("q_")] = run
     return run
 
 
@@ -92,7 +94,7 @@ def silver_valid(spark, sf_dir):
 
 
 @query
-def silver_metrics_events(spark, sf_dir):
+def q_silver_metrics(spark, sf_dir):
     return silver_metrics(events_dirty(spark, sf_dir), SLOT)
 
 
@@ -170,7 +172,7 @@ def dim_date(spark, sf_dir):
 
 
 @query
-def number_series(spark, sf_dir):
+def q_number_spine(spark, sf_dir):
     """Every user number up to the greatest, with its number of events."""
     events = table(spark, sf_dir, "events")
     top = events.agg(F.max("user_id")).first()[0]
@@ -249,7 +251,7 @@ def parse_money(spark, sf_dir):
 
 
 @query
-def parse_discount_text(spark, sf_dir):
+def q_parse_discount(spark, sf_dir):
     k = F.get_json_object("props", "$.k")
     text = (
         F.when(F.col("event_type") == "error", F.concat(k, F.lit(".5%")))
@@ -260,7 +262,7 @@ def parse_discount_text(spark, sf_dir):
 
 
 @query
-def parse_rating_text(spark, sf_dir):
+def q_parse_rating(spark, sf_dir):
     text = F.when(F.col("event_type") == "error", F.lit("new")).otherwise(
         F.concat(F.lit("\n"), (F.col("user_id") % 6).cast("string"), F.lit(".25 "))
     )
@@ -268,7 +270,7 @@ def parse_rating_text(spark, sf_dir):
 
 
 @query
-def mrp_from_price_and_discount(spark, sf_dir):
+def q_mrp_from_discount(spark, sf_dir):
     """Discounts 0 to 10 of lineitem, and ten times as much: 0, 100 and below 100."""
     items = lineitem_parts(spark, sf_dir)
     return items.select(
@@ -417,7 +419,7 @@ def slot_load(spark, sf_dir):
 
 
 @query
-def partitions_registered(spark, sf_dir):
+def q_register_partitions(spark, sf_dir):
     """Rows per partition, read through the catalog table."""
     root, database = _folder(spark, "silver"), _database(spark, "catalog")
     replace_slot(build_silver(events_bronze(spark, sf_dir), SLOT), root, SLOT)
