@@ -12,14 +12,15 @@ def keep_one(df: DataFrame, keys: Sequence[str], copies: str | None = None) -> D
     """Per key the row with the smallest remaining columns, in column order, nulls first.
 
     An aggregate, not a window: copies are merged before the shuffle, so a key
-    that holds much of the table sends one row per task.  ``copies`` names a
-    column for the number of rows merged.
+    that holds much of the table sends one row per task.  The hash in front of the
+    keys makes their sort cheap: it seldom has to look at the keys themselves.
+    ``copies`` names a column for the number of rows merged.
     """
     rest = [c for c in df.columns if c not in keys]
     aggs = [F.min(F.struct(*rest)).alias("_row")]
     if copies:
         aggs.append(F.count(F.lit(1)).alias(copies))
-    merged = df.groupBy(*keys).agg(*aggs)
+    merged = df.withColumn("_hash", F.xxhash64(*keys)).groupBy("_hash", *keys).agg(*aggs)
     columns = [F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns]
     return merged.select(*columns, *([copies] if copies else []))
 
