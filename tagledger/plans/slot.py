@@ -13,7 +13,7 @@ from tagledger.plans.star import refresh_star
 from tagledger.schemas import SILVER, SLOT_PARTITIONS, Slot
 from tagledger.session import pin_session, scratch_scope, shuffles_sized_for
 from tagledger.sinks.silver import Registration, register_partitions, replace_slot
-from tagledger.sources.bronze import read_bronze, slot_exists
+from tagledger.sources.bronze import read_bronze, slot_exists, slot_glob
 from tagledger.sources.silver import read_silver, read_silver_slot, staging
 from tagledger.sources.spine import SPINE_DAYS, SPINE_START
 
@@ -62,7 +62,8 @@ def load_slot(spark: SparkSession, paths: Paths, slot: Slot, layout: str = "arra
     bronze = read_bronze(spark, paths.bronze, paths.source, slot, layout)
     counts = Observation()
     silver = observed_silver(bronze, slot, counts)
-    report.off_slot_rows = replace_slot(silver, paths.silver, slot)
+    with shuffles_sized_for(spark, slot_glob(paths.bronze, paths.source, slot)):
+        report.off_slot_rows = replace_slot(silver, paths.silver, slot)
     report.metrics = dict(counts.get)
     create_silver_table(spark, paths.silver_table, paths.silver)
     written = read_silver_slot(spark, paths.silver, slot)
@@ -86,5 +87,5 @@ def run_slot(
         base = staging(read_silver(spark, paths.silver))
         with scratch_scope(spark), shuffles_sized_for(spark, paths.silver):
             report.tables = refresh_star(base, paths.database, start, days, staging_as)
-        report.checks = run_checks(report.tables, STAR_CHECKS).collect()
+            report.checks = run_checks(report.tables, STAR_CHECKS).collect()
     return report

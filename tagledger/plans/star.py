@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from tagledger.operators.dims import dim_category, dim_date, dim_platform, dim_product
 from tagledger.operators.fact import Dims, build_fact
-from tagledger.sinks.tables import keyed_layout, materialize_table, materialize_view, sorted_layout
+from tagledger.sinks.tables import materialize_table, materialize_view, sorted_layout
 from tagledger.sources.spine import SPINE_DAYS, SPINE_START
 
 

@@ -36,14 +36,15 @@ def any_file(spark: SparkSession, pattern: str) -> bool:
 
 
 @contextmanager
-def shuffles_sized_for(spark: SparkSession, root: str) -> Iterator[int]:
-    """Raise the shuffle partition count to what the files under ``root`` need.
+def shuffles_sized_for(spark: SparkSession, pattern: str) -> Iterator[int]:
+    """Raise the shuffle partition count to what the files under the path pattern need.
 
     Adaptive execution merges partitions that turn out small; it cannot make
     more of them, so a count that is too low means spills.
     """
-    path, fs = _hadoop_path(spark, root)
-    wanted = int(fs.getContentSummary(path).getLength()) * IN_MEMORY_GROWTH // PARTITION_BYTES
+    path, fs = _hadoop_path(spark, pattern)
+    size = sum(fs.getContentSummary(found.getPath()).getLength() for found in fs.globStatus(path) or ())
+    wanted = size * IN_MEMORY_GROWTH // PARTITION_BYTES
     before = spark.conf.get("spark.sql.shuffle.partitions")
     count = max(int(before), min(wanted, MAX_PARTITIONS))
     spark.conf.set("spark.sql.shuffle.partitions", str(count))
