@@ -81,24 +81,25 @@ def sentences(text: str) -> Iterator[tuple[int, int, int, int]]:
             yield start, stop, len(own), _signed(_digest(" ".join(own).encode("utf-8", "surrogatepass")))
 
 
-def shingles(words: list[str]) -> np.ndarray:
+def shingles(words: list[bytes]) -> np.ndarray:
     """Distinct 32-bit hashes of runs of words."""
-    own = np.array([_digest(w.encode("utf-8", "surrogatepass")) for w in words], np.uint64)
+    own = np.array([_digest(w) for w in words], np.uint64)
     width = min(SHINGLE, len(own))
     count = len(own) - width + 1
     mixed = sum(own[i : i + count] * _ODD[i] for i in range(width))
     return np.unique(((mixed ^ mixed >> np.uint64(31)) * _ODD[0] >> np.uint64(32)).astype(np.uint32))
 
 
-def bands(elements: np.ndarray, kind: int) -> list[int]:
+def bands(elements: np.ndarray, kind: int) -> np.ndarray:
     """Hashes of the bands of the MinHash signature."""
     wide = elements.astype(np.uint64)
     least = np.full(BANDS * ROWS, ~np.uint64(0))
     for start in range(0, len(wide), 4096):
         part = (wide[start : start + 4096, None] + np.uint64(1)) * _PERMUTE[0] + _PERMUTE[1]
         least = np.minimum(least, (part ^ part >> np.uint64(33)).min(axis=0))
-    rows = least.reshape(BANDS, ROWS)
-    return [_signed(_digest(r.tobytes(), kind * BANDS + i)) for i, r in enumerate(rows)]
+    mixed = least.reshape(BANDS, ROWS) @ _ODD[:ROWS] + np.arange(kind * BANDS, (kind + 1) * BANDS, dtype=np.uint64)
+    mixed = (mixed ^ mixed >> np.uint64(29)) * _ODD[4]
+    return (mixed ^ mixed >> np.uint64(32)).view(np.int64)
 
 
 def unit(kind: int, start: int, stop: int, words: int, elements: np.ndarray) -> dict:
@@ -109,7 +110,7 @@ def unit(kind: int, start: int, stop: int, words: int, elements: np.ndarray) ->
 def line_units(text: str | None, min_words: int) -> list[dict]:
     out = []
     for start, stop in spans(text or "", re.compile(r"\n+")):
-        words = text[start:stop].lower().split()
+        words = text[start:stop].lower().encode("utf-8", "surrogatepass").split()
         if len(words) >= min_words:
             out.append(unit(LINE, start, stop, len(words), shingles(words)))
     return out
@@ -156,11 +157,26 @@ def _scan_sentences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         )
 
 
+def _unit_array(lists: list[list[dict]]) -> pa.Array:
+    """Lists of units as one Arrow array, built column by column."""
+    flat = [u for own in lists for u in own]
+
+    def nested(name: str, kind: pa.DataType) -> pa.Array:
+        ends = np.cumsum([0, *[len(u[name]) for u in flat]]).astype(np.int32)
+        values = np.concatenate([np.empty(0, kind.to_pandas_dtype()), *[u[name] for u in flat]])
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(values, kind))
+
+    columns = [pa.array([u[n] for u in flat], pa.int32()) for n in ("kind", "start", "stop", "words")]
+    columns += [pa.array([u["digest"] for u in flat], pa.int64()), nested("bands", pa.int64()), nested("elements", pa.int32())]
+    ends = np.cumsum([0, *map(len, lists)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(columns, fields=list(_UNIT)))
+
+
 def _unit_column(source: Column, build, min_words: int) -> Column:
     @F.arrow_udf(_UNIT_SQL)
     def scan(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            yield pa.array([build(v, min_words) for v in batch.to_pylist()], pa.list_(_UNIT))
+            yield _unit_array([build(v, min_words) for v in batch.to_pylist()])
 
     return scan(source)
 

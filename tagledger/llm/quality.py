@@ -27,7 +27,7 @@ WIDTH = 8
 CHARS = (3, 4)
 BACK = (1, 2, 3, 4)
 MAX_LABELLED = 3_000  # labelled documents that the model is fitted on, at most
-EPOCHS = 6
+STEPS = 18_000  # documents that training looks at, repeats counted; the same for any sample
 RATE = 0.5
 LEAST = 10  # added to the number of features, so that a few of them decide less
 _SLICE = 1 << 18  # code points that are turned into features at once
@@ -62,10 +62,10 @@ def fit(bags: list[tuple[np.ndarray, np.ndarray]], labels: list[int]) -> tuple[n
     output = np.zeros((2, WIDTH), np.float32)
     seen = np.bincount(labels, minlength=2) + 1
     bias = np.log(seen / seen.sum()).astype(np.float32)
-    steps, step = max(1, EPOCHS * len(bags)), 0
-    for _ in range(EPOCHS):
-        for i in draw.permutation(len(bags)):
-            rate = RATE * (1 - step / steps)
+    step = 0
+    while bags and step < STEPS:
+        for i in draw.permutation(len(bags))[: STEPS - step]:
+            rate = RATE * (1 - step / STEPS)
             step += 1
             at, share = bags[i]
             mean = share @ table[at]
