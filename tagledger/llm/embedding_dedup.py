@@ -85,7 +85,22 @@ def _window_pairs(window: int, cosine: float):
                 near = (dots / (norm[:-step] * norm[step:]) >= cosine) & own[:-step]
                 found.append(np.stack([ids[:-step][near], ids[step:][near]]))
             pairs = np.concatenate([np.empty((2, 0), np.int64), *found], axis=1)
-            return pa.record_batch([pa.array(pairs.min(axis=0)), pa.array(pairs.max(axis=0))], names=["a", "b"])
+            top: dict[int, int] = {}
+
+            def find(x: int) -> int:
+                while top.get(x, x) != x:
+                    top[x] = top.get(top[x], top[x])
+                    x = top[x]
+                return x
+
+            # Links that first connect two parts of the block; the others add nothing to components.
+            tree = []
+            for a, b in pairs.T.tolist():
+                a, b = find(a), find(b)
+                tree.append(a != b)
+                top[max(a, b)] = min(a, b)
+            columns = [pa.array(pairs.min(axis=0)), pa.array(pairs.max(axis=0)), pa.array(tree, pa.bool_())]
+            return pa.record_batch(columns, names=["a", "b", "tree"])
 
         for batch in batches:
             for row in batch.to_pylist():
@@ -100,7 +115,7 @@ def _window_pairs(window: int, cosine: float):
 
 
 def near_pairs(nodes: DataFrame, passes: int, window: int, cosine: float, block: int) -> DataFrame:
-    """Distinct linked pairs (a, b), a < b, of (node, size, keys, embedding)."""
+    """Distinct linked pairs (a, b), a < b, of (node, size, keys, embedding); ``tree``: enough for components."""
     turns = nodes.select("node", "size", F.posexplode("keys").alias("turn", "key"))
     order = [F.col("size"), F.col("turn"), F.col("key"), F.col("node")]
     ranked = global_row_number(turns, order, "rank", spread_copies=False)
@@ -111,7 +126,8 @@ def near_pairs(nodes: DataFrame, passes: int, window: int, cosine: float, block:
     full = dealt.join(nodes.select("node", "size", "embedding"), F.col("_node") == F.col("node")).drop("_node")
     placed = full.repartition("block").sortWithinPartitions("block", "turn", "size", "rank")
     kind = dict(nodes.dtypes)["node"]
-    return placed.mapInArrow(_window_pairs(window, cosine), f"a {kind}, b {kind}").distinct()
+    found = placed.mapInArrow(_window_pairs(window, cosine), f"a {kind}, b {kind}, tree boolean")
+    return found.groupBy("a", "b").agg(F.max("tree").alias("tree"))
 
 
 def near_duplicate_vectors(
@@ -135,10 +151,10 @@ def near_duplicate_vectors(
     named = able.join(classes, (F.col("digest") == F.col("_digest")) & (F.col("vec_id") == F.col("node")))
     nodes = stage(named.select("node", "size", "keys", "embedding").dropDuplicates(["node"]), "vector-nodes")
     pairs = stage(near_pairs(nodes, passes, window, cosine, block), "vector-pairs")
-    both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    both = pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
     sizes = classes.select(F.col("node").alias("_node"), "n")
     linked = both.join(sizes, F.col("b") == F.col("_node")).groupBy(F.col("a").alias("_from")).agg(F.sum("n").alias("_near"))
-    roots = components(pairs).select(F.col("node").alias("_member"), "root")
+    roots = components(pairs.filter("tree")).select(F.col("node").alias("_member"), "root")
     known = classes.join(stage(linked, "vector-links"), F.col("node") == F.col("_from"), "left")
     known = known.join(roots, F.col("node") == F.col("_member"), "left").select(
         "_digest",
