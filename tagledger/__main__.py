@@ -18,7 +18,7 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--database", default="default")
     parser.add_argument("--run-date", help="YYYY-MM-DD, UTC; the present hour if left out")
     parser.add_argument("--run-hour", help="HH, UTC")
-    parser.add_argument("--layout", choices=("array", "lines"), default="array")
+    parser.add_argument("--layout", choices=("auto", "array", "lines"), default="auto")
     parser.add_argument("--staging-as", choices=("view", "table"), default="view")
     args = parser.parse_args(argv)
     if (args.run_date is None) != (args.run_hour is None):

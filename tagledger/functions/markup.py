@@ -16,10 +16,14 @@ from tagledger.functions.text import MARK
 
 # Attributes up to the end of a start tag; a '>' inside quotes does not end it.
 _ATTRIBUTES = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
-_SOME_ATTRIBUTES = r"""(?:[^>"']|"[^"]*"|'[^']*')*?"""
 _NAME_END = r"(?=[\s/>])"
 
 
+def _before(name: str) -> str:
+    """Pattern of what stands before an attribute of this name in a start tag; never tried twice."""
+    return rf"""(?:[^>"'\s]++|"[^"]*+"|'[^']*+'|\s(?!(?i:{escape(name)})\s*=))*+"""
+
+
 @dataclass(frozen=True)
 class TagRule:
     """A tag, and what its class must hold: a word of it (``token``) or a part of it."""
@@ -43,7 +47,7 @@ class TagRule:
             values = [rf'"[^"]*{word}[^"]*"', rf"'[^']*{word}[^']*'", rf"[^\s\"'>]*{word}"]
         else:
             raise ValueError(f"unknown match: {self.match!r}")
-        return rf"(?={_SOME_ATTRIBUTES}\s(?i:class)\s*=\s*(?:{'|'.join(values)}))"
+        return rf"(?={_before("class")}\s(?i:class)\s*=\s*(?:{'|'.join(values)}))"
 
 
 def starts_with_tag(html: Column, rule: TagRule) -> Column:
@@ -103,7 +107,7 @@ def inner_html(element: Column) -> Column:
 def attribute(element: Column, name: str) -> Column:
     """Value of an attribute of the element's start tag as written; ``''`` if it has none."""
     pattern = (
-        rf"^<[A-Za-z]{_SOME_ATTRIBUTES}\s(?i:{escape(name)})\s*=\s*"
+        rf"^<[A-Za-z]{_before(name)}\s(?i:{escape(name)})\s*=\s*"
         r"""("[^"]*"|'[^']*'|[^\s"'>]+)"""
     )
     return F.regexp_replace(F.regexp_extract(element, pattern, 1), r"""^["']|["']$""", "")

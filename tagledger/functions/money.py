@@ -11,6 +11,9 @@ from tagledger.functions.text import strip_text
 CURRENCY_SIGN = "₹"
 THOUSANDS_SEPARATOR = ","
 
+# Doubles from here on are whole numbers.
+NO_CENTS = float(1 << 52)
+
 _NUMBER = r"(?i)^[+-]?(?:[0-9]+\.?[0-9]*(?:e[+-]?[0-9]+)?|\.[0-9]+(?:e[+-]?[0-9]+)?|nan|inf|infinity)$"
 
 
@@ -42,8 +45,10 @@ def round2(value: Column) -> Column:
 
     Gives the same double in every SQL engine.  On an exact tie it can differ
     by one cent from rounding that looks at the binary value of the double.
+    NaN, and what is too large to have cents, stays as it is.
     """
-    return F.floor(value * F.lit(100.0) + F.lit(0.5)) / F.lit(100.0)
+    rounded = F.floor(value * F.lit(100.0) + F.lit(0.5)) / F.lit(100.0)
+    return F.when(F.isnan(value) | (F.abs(value) >= NO_CENTS), value).otherwise(rounded)
 
 
 def mrp_from_discount(price: Column, pct: Column) -> Column:

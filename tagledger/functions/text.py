@@ -2,56 +2,26 @@
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Unicode white space, plus the four ASCII separators that also count as space.
 _SPACE = r"[\s\x1C-\x1F\x{85}\p{Z}]"
 
-# Character references written by name, with their characters.
-# The names in LEGACY_REFERENCES are also read without the closing semicolon.
-LEGACY_REFERENCES = {
-    "amp": "&",
-    "lt": "<",
-    "gt": ">",
-    "quot": '"',
-    "nbsp": " ",
-    "copy": "©",
-    "reg": "®",
-    "middot": "·",
-    "pound": "£",
-    "yen": "¥",
-    "cent": "¢",
-    "deg": "°",
-    "times": "×",
-    "frac12": "½",
-    "eacute": "é",
-    "egrave": "è",
-    "uuml": "ü",
-    "ouml": "ö",
-    "auml": "ä",
-    "ntilde": "ñ",
-    "ccedil": "ç",
-}
-CLOSED_REFERENCES = {
-    "apos": "'",
-    "euro": "€",
-    "trade": "™",
-    "ndash": "–",
-    "mdash": "—",
-    "hellip": "…",
-    "bull": "•",
-    "lsquo": "‘",
-    "rsquo": "’",
-    "ldquo": "“",
-    "rdquo": "”",
-    "rarr": "→",
-    "starf": "★",
-}
+# The standard library's table of HTML's character references; names without a semicolon
+# are the ones that are also read without it.
+# Lookups go through the table in order, so the names that pages use most come first.
+_COMMON = ["amp;", "lt;", "gt;", "quot;", "nbsp;", "apos;", "copy;", "middot;", "ndash;", "mdash;"]
+REFERENCES = {name: html5[name] for name in _COMMON} | {n: text for n, text in html5.items() if n.endswith(";")}
+LEGACY_REFERENCES = {name: text for name, text in html5.items() if not name.endswith(";")}
+REPLACEMENT = "\ufffd"
 
 # A control character that no page text holds; drop_hidden removes it.
 MARK = "\u0001"
-_HIDDEN = r"(?i)<(?:!--(?s:.*?)-->|script\b(?s:.*?)</script\s*>|style\b(?s:.*?)</style\s*>)"
+_HIDDEN = r"(?i)<(?:!--(?s:.*?)(?:-->|\z)|script\b(?s:.*?)</script\s*>|style\b(?s:.*?)</style\s*>)"
 ANY_TAG = r"""</?[A-Za-z](?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
 
 
@@ -77,24 +47,33 @@ def resolve_url(base: str, href: Column) -> Column:
 
 
 def _code_point(digits: Column, base: int) -> Column:
-    hexed = F.lpad(F.conv(digits, base, 16), 8, "0")
+    """The character with this number; U+FFFD if there is none."""
+    bare = F.regexp_replace(digits, "^0+", "")
+    number = F.when(F.length(bare) <= 7, F.conv(bare, base, 10).cast("bigint"))
+    real = (number > 0) & (number <= 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
+    hexed = F.lpad(F.hex(F.when(real, number).otherwise(ord(REPLACEMENT))), 8, "0")
     return F.decode(F.unhex(hexed), "UTF-32")
 
 
-_NAMED = rf"^&({'|'.join(LEGACY_REFERENCES)}|(?:{'|'.join(CLOSED_REFERENCES)})(?=;));?"
-_DECIMAL = r"^&#([0-9]{1,7});?"
-_HEXADECIMAL = r"^&#[xX]([0-9A-Fa-f]{1,6});?"
+_CLOSED = r"^&([A-Za-z][A-Za-z0-9]*;)"
+_LEGACY = rf"^&({'|'.join(sorted(LEGACY_REFERENCES, key=len, reverse=True))})"
+_DECIMAL = r"^&#([0-9]+);?"
+_HEXADECIMAL = r"^&#[xX]([0-9A-Fa-f]+);?"
+
+
+def _table(names: dict[str, str]) -> Column:
+    """A constant map, written as one literal so that plans stay small."""
+    return F.from_json(F.lit(json.dumps(names)), "map<string,string>")
 
 
 def _decode_piece(piece: Column) -> Column:
     """One piece of text that holds at most one reference, at its start."""
-    table = F.create_map(
-        *[F.lit(x) for pair in {**LEGACY_REFERENCES, **CLOSED_REFERENCES}.items() for x in pair]
-    )
-    name, dec, hexa = (F.regexp_extract(piece, p, 1) for p in (_NAMED, _DECIMAL, _HEXADECIMAL))
+    closed, legacy, dec, hexa = (F.regexp_extract(piece, p, 1) for p in (_CLOSED, _LEGACY, _DECIMAL, _HEXADECIMAL))
+    named = F.when(closed != "", F.try_element_at(_table(REFERENCES), closed))
     return (
         F.when(~piece.startswith("&"), piece)
-        .when(name != "", F.concat(F.try_element_at(table, name), F.regexp_replace(piece, _NAMED, "")))
+        .when(named.isNotNull(), F.concat(named, F.regexp_replace(piece, _CLOSED, "")))
+        .when(legacy != "", F.concat(F.try_element_at(_table(LEGACY_REFERENCES), legacy), F.regexp_replace(piece, _LEGACY, "")))
         .when(dec != "", F.concat(_code_point(dec, 10), F.regexp_replace(piece, _DECIMAL, "")))
         .when(hexa != "", F.concat(_code_point(hexa, 16), F.regexp_replace(piece, _HEXADECIMAL, "")))
         .otherwise(piece)

@@ -54,8 +54,9 @@ def create_silver_table(spark: SparkSession, table: str, root: str) -> None:
     )
 
 
-def load_slot(spark: SparkSession, paths: Paths, slot: Slot, layout: str = "array") -> SlotReport:
+def load_slot(spark: SparkSession, paths: Paths, slot: Slot, layout: str = "auto") -> SlotReport:
     """Raw files of the slot into silver, in one pass; an empty slot changes nothing."""
+    pin_session(spark)
     report = SlotReport(slot, loaded=slot_exists(spark, paths.bronze, paths.source, slot))
     if not report.loaded:
         return report
@@ -75,7 +76,7 @@ def run_slot(
     spark: SparkSession,
     paths: Paths,
     slot: Slot,
-    layout: str = "array",
+    layout: str = "auto",
     start: date = SPINE_START,
     days: int = SPINE_DAYS,
     staging_as: str = "view",

@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 PARTITION_BYTES = 256 << 20
 IN_MEMORY_GROWTH = 4  # bytes of rows for a byte of compressed columns
-MAX_PARTITIONS = 100_000
 
 
 def pin_session(spark: SparkSession) -> SparkSession:
@@ -46,7 +45,7 @@ def shuffles_sized_for(spark: SparkSession, pattern: str) -> Iterator[int]:
     size = sum(fs.getContentSummary(found.getPath()).getLength() for found in fs.globStatus(path) or ())
     wanted = size * IN_MEMORY_GROWTH // PARTITION_BYTES
     before = spark.conf.get("spark.sql.shuffle.partitions")
-    count = max(int(before), min(wanted, MAX_PARTITIONS))
+    count = max(int(before), wanted)
     spark.conf.set("spark.sql.shuffle.partitions", str(count))
     try:
         yield count

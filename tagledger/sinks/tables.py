@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagledger.operators.heavy import heavy_keys
-
 
 def materialize_table(df: DataFrame, name: str) -> DataFrame:
     """Full refresh: the result replaces the table."""
@@ -38,10 +36,8 @@ def keyed_layout(df: DataFrame, key: str, sort: Sequence[str]) -> DataFrame:
 def materialize_bucketed(df: DataFrame, name: str, key: str, buckets: int, sort: Sequence[str]) -> DataFrame:
     """Full refresh into buckets of ``key``, so joins and windows on it need no shuffle.
 
-    A bucket is read by one task, so a table with a hot key gets no buckets.
+    A bucket is read by one task; for a table with a hot key ``keyed_layout`` is the layout to choose.
     """
-    if heavy_keys(df, key):
-        return materialize_table(keyed_layout(df, key, sort), name)
     placed = df.repartition(buckets, key)
     placed.write.mode("overwrite").bucketBy(buckets, key).sortBy(*sort).saveAsTable(name)
     return df.sparkSession.table(name)

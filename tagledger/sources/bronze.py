@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tagledger.schemas import BRONZE, Slot
 from tagledger.session import any_file
@@ -17,21 +18,48 @@ def slot_exists(spark: SparkSession, root: str, source: str, slot: Slot) -> bool
     return any_file(spark, slot_glob(root, source, slot))
 
 
+def _array_files(spark: SparkSession, pattern: str) -> tuple[list[str], int]:
+    """Files whose JSON goes over several lines, and the number of all files that hold anything.
+
+    Tells the form by a file's first line that is not blank: a whole object or array, or
+    the beginning of one.  One short text per file, as in the file listing itself.
+    """
+    line = F.trim(F.regexp_replace("value", r"^\x{FEFF}|\s+", " "))
+    lines = spark.read.text(pattern).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at"),
+        line.alias("line"),
+    )
+    whole = F.col("line").rlike(r"^(\{.*\}|\[.*\])$")
+    heads = lines.filter("line <> ''").groupBy("file").agg(F.min_by(whole, "at").alias("whole"))
+    forms = heads.collect()
+    return sorted(r["file"] for r in forms if not r["whole"]), len(forms)
+
+
 def read_bronze(
     spark: SparkSession,
     root: str,
     source: str,
     slot: Slot,
-    layout: str = "array",
+    layout: str = "auto",
 ) -> DataFrame:
     """All files of one slot, all categories, as text columns; no rows for an empty slot.
 
+    ``layout='auto'`` finds the form of every file, so both are read whole.
     ``layout='array'``: each file is one JSON array over many lines, read by one
     task.  ``layout='lines'``: one object (or one array) per line, as
     ``write_bronze`` writes it; large files are split over tasks.
     """
-    if layout not in ("array", "lines"):
+    if layout not in ("auto", "array", "lines"):
         raise ValueError(f"unknown layout: {layout!r}")
     if not slot_exists(spark, root, source, slot):
         return spark.createDataFrame([], BRONZE)
-    return spark.read.schema(BRONZE).json(slot_glob(root, source, slot), multiLine=layout == "array")
+    pattern = slot_glob(root, source, slot)
+    read = spark.read.schema(BRONZE)
+    if layout != "auto":
+        return read.json(pattern, multiLine=layout == "array")
+    arrays, files = _array_files(spark, pattern)
+    if not arrays or len(arrays) == files:
+        return read.json(pattern, multiLine=bool(arrays))
+    is_array = F.col("_metadata.file_path").isin(arrays)
+    return read.json(pattern).filter(~is_array).unionByName(read.json(pattern, multiLine=True).filter(is_array))
