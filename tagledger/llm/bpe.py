@@ -21,14 +21,15 @@ from pyspark.sql import functions as F
 
 from tagledger.llm.vocabulary import Vocabulary
 
-_open: dict[int, Vocabulary] = {}
+_open: dict[tuple[int, bool], Vocabulary] = {}
 
 
-def _tables(shared) -> Vocabulary:
-    """One set of tables per worker process."""
-    if shared.value["key"] not in _open:
-        _open[shared.value["key"]] = Vocabulary.parse(shared.value["source"])
-    return _open[shared.value["key"]]
+def _tables(shared, encoder: bool) -> Vocabulary:
+    """One set of tables per worker process; decoding needs only the small ones."""
+    key = (shared.value["key"], encoder)
+    if key not in _open:
+        _open[key] = Vocabulary.parse(shared.value["source"], encoder)
+    return _open[key]
 
 
 def _broadcast(spark: SparkSession, tokenizer: str):
@@ -42,7 +43,7 @@ def token_ids(text: Column, shared) -> Column:
 
     @F.arrow_udf("array<int>")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        tables = _tables(shared)
+        tables = _tables(shared, True)
         for batch in batches:
             rows = [tables.encode(t) if t else np.empty(0, "<u4") for t in batch.to_pylist()]
             ends = np.cumsum([0, *map(len, rows)])
@@ -57,7 +58,7 @@ def token_text(ids: Column, shared) -> Column:
 
     @F.arrow_udf("string")
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        tables = _tables(shared)
+        tables = _tables(shared, False)
         for batch in batches:
             flat, ends = batch.flatten().to_numpy(zero_copy_only=False), np.zeros(len(batch) + 1, int)
             sizes = batch.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)

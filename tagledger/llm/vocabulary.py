@@ -66,8 +66,8 @@ class Vocabulary:
     cache_size: int = 400_000  # entries of each cache; a full one starts anew
 
     @staticmethod
-    def parse(source: str) -> Vocabulary:
-        """Tables from the text of a tokenizer file."""
+    def parse(source: str, encoder: bool = True) -> Vocabulary:
+        """Tables from the text of a tokenizer file; those of the encoder may be left empty."""
         spec = json.loads(source)
         own = spec["model"]["vocab"]
         stand_ins = _printable_bytes()
@@ -87,10 +87,11 @@ class Vocabulary:
             right.append(j)
         known = {s: i for i, s in enumerate(strings)}
         automaton = ahocorasick.Automaton()
-        for s, i in known.items():
-            automaton.add_word(s, (len(s), i))
-        automaton.make_automaton()
-        shorter = [next((known[s[:n]] for n in range(len(s) - 1, 0, -1) if s[:n] in known), -1) for s in strings]
+        if encoder:
+            for s, i in known.items():
+                automaton.add_word(s, (len(s), i))
+            automaton.make_automaton()
+        shorter = [] if not encoder else [next((known[s[:n]] for n in range(len(s) - 1, 0, -1) if s[:n] in known), -1) for s in strings]
         special = {t["content"]: t["id"] for t in spec.get("added_tokens", ())}
         by_id = {own[n]: n for n in names} | {i: s for s, i in special.items()}
         shown = [(by_id.get(i, "") + " ").encode() for i in range(max(by_id) + 1)]
@@ -98,10 +99,10 @@ class Vocabulary:
             ids=np.array([own[n] for n in names], "<u4"),
             automaton=automaton,
             shorter=shorter,
-            lengths=[len(s) for s in strings],
-            left=left,
-            right=right,
-            pairs=pairs,
+            lengths=[len(s) for s in strings] if encoder else [],
+            left=left if encoder else [],
+            right=right if encoder else [],
+            pairs=pairs if encoder else {},
             special=special,
             texts=np.frombuffer(b"".join(shown), np.uint8),
             offsets=np.cumsum([0, *map(len, shown)]),
