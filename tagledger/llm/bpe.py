@@ -13,6 +13,7 @@ column of the output's name is replaced, other columns pass through.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
@@ -68,18 +69,26 @@ def token_text(ids: Column, shared) -> Column:
     return decode(ids)
 
 
-def packed_sha256(ids: Column) -> Column:
-    """SHA-256 (hex) of the ids as little-endian unsigned 32-bit integers."""
+def round_trip(text: Column, shared) -> Column:
+    """Token count, SHA-256 (hex) of the ids as little-endian 32-bit integers, and of the text they decode to.
 
-    @F.arrow_udf("binary")
-    def pack(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    Both ways in one worker, so a task needs one set of tables and ids stay where they are made.
+    """
+
+    @F.arrow_udf("n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        tables = _tables(shared, True)
         for batch in batches:
-            flat, ends = batch.flatten().to_numpy(zero_copy_only=False).astype("<u4").tobytes(), [0]
-            for size in batch.value_lengths().fill_null(0).to_pylist():
-                ends.append(ends[-1] + 4 * size)
-            yield pa.array([flat[a:b] for a, b in zip(ends, ends[1:])], pa.binary())
+            sizes, coded, decoded = [], [], []
+            for value in batch:
+                ids = tables.encode(value.as_py() or "")
+                sizes.append(len(ids))
+                coded.append(sha256(ids.astype("<u4").tobytes()).hexdigest())
+                decoded.append(sha256(tables.decode(ids).encode()).hexdigest())
+            columns = [pa.array(sizes, pa.int64()), pa.array(coded, pa.string()), pa.array(decoded, pa.string())]
+            yield pa.StructArray.from_arrays(columns, ["n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return F.sha2(pack(ids), 256)
+    return both(text)
 
 
 def encode(df: DataFrame, tokenizer: str, text: str = "text", ids: str = "token_ids") -> DataFrame:
@@ -94,11 +103,6 @@ def decode(df: DataFrame, tokenizer: str, ids: str = "token_ids", text: str = "d
 
 def digests(docs: DataFrame, tokenizer: str) -> DataFrame:
     """Per document: token count and digests of the ids and of the decoded text."""
-    coded = encode(docs.select("doc_id", "text"), tokenizer).select("doc_id", "token_ids")
-    both = decode(coded, tokenizer)
-    return both.select(
-        "doc_id",
-        F.size("token_ids").cast("bigint").alias("n_tokens"),
-        packed_sha256(F.col("token_ids")).alias("ids_sha256"),
-        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"),
-    )
+    coded = round_trip(F.col("text"), _broadcast(docs.sparkSession, tokenizer))
+    both = docs.select("doc_id", coded.alias("_coded"))
+    return both.select("doc_id", "_coded.n_tokens", "_coded.ids_sha256", "_coded.decoded_sha256")

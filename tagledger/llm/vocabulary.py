@@ -199,6 +199,8 @@ class Vocabulary:
 
     def encode(self, text: str) -> np.ndarray:
         """Token ids of a text; the special tokens' own strings stand for themselves."""
+        if not text:
+            return np.empty(0, "<u4")
         if not any(s in text for s in self.special):
             return np.frombuffer(self.plain(text), "<u4")
         parts = regex.split("(" + "|".join(map(regex.escape, self.special)) + ")", text)
