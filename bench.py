@@ -23,13 +23,13 @@ from tagledger.operators.dedupe import keep_one
 from tagledger.operators.ordering import global_row_number
 from tagledger.operators.trend import previous_value
 from tagledger.plans.silver import CARRIED, KEYS, build_silver
+from tagledger.plans.star import build_dims
 from tagledger.schemas import Slot
 from tagledger.session import pin_session, scratch_root, scratch_scope, stage
 from tagledger.sinks.silver import replace_slot
 from tagledger.sources.pages import card_records, extract_cards
 from tagledger.sources.silver import staging
-from tagledger.suite.queries import LINK_RULES
-from tagledger.suite.views import lineitem_bronze, table
+from tagledger.suite.views import SHOP_RULES, lineitem_bronze, listing_pages
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "4")
@@ -88,7 +88,13 @@ def main() -> None:
         timed("dedupe_window_plain", lambda: run(keyed.withColumn("r", F.row_number().over(ranked)).filter("r = 1")))
         root = f"{scratch_root(spark)}/bench-{uuid.uuid4().hex}"
         timed("replace_slot", lambda: replace_slot(silver, root, SLOT))
-        timed("build_dims", lambda: [run(dims.dim_category(base)), run(dims.dim_platform(base)), run(dims.dim_product(base))])
+
+        def all_dims() -> None:
+            built = build_dims(base)
+            for df in (built.category, built.platform, built.product):
+                run(df)
+
+        timed("build_dims", all_dims)
         timed("snapshot_id", lambda: run(global_row_number(joined, order, "snapshot_id", spread_copies=False)))
         timed("snapshot_id_window_plain", lambda: run(joined.withColumn("n", F.row_number().over(Window.orderBy(*order)))))
         timed("price_trend", lambda: run(fact.add_trend(joined)))
@@ -96,8 +102,11 @@ def main() -> None:
         timed("price_trend_hot", lambda: run(previous_value(*lag, hot_rows=100)))
         timed("build_fact", lambda: run(fact.build_fact(base, star)))
         timed("run_checks", lambda: run(run_checks(tables, STAR_CHECKS)))
-        pages = table(spark, SF_DIR, "pages")
-        timed("page_cards", lambda: run(card_records(extract_cards(pages, LINK_RULES))))
+        keep = ["category", "page_num", "scraped_at"]
+        pages = stage(listing_pages(spark, SF_DIR).repartition(int(CPUS)), "pages")
+        if card_records(extract_cards(pages, SHOP_RULES, keep=keep), keep=keep).isEmpty():
+            raise RuntimeError("the pages give no records")
+        timed("page_cards", lambda: run(card_records(extract_cards(pages, SHOP_RULES, keep=keep), keep=keep)))
 
     headline = sum(t for n, t in times.items() if not n.endswith("_plain"))
     print(

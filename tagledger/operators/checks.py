@@ -9,6 +9,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tagledger.operators.heavy import fits_broadcast
+
 REPORT_COLUMNS = ("test", "table", "column", "failures", "passed")
 
 
@@ -85,34 +87,72 @@ def check_empty(df: DataFrame, predicate: str) -> DataFrame:
     return df.filter(predicate).agg(F.count(F.lit(1)).alias("failures"))
 
 
-def _labelled(failures: DataFrame, test: str, table: str, column: str | None = None) -> DataFrame:
-    name = F.lit(column) if column is not None else F.col("column")
+def _labelled(failures: DataFrame, test: str, table: str, column: str) -> DataFrame:
     return failures.select(
         F.lit(test).alias("test"),
         F.lit(table).alias("table"),
-        name.alias("column"),
+        F.lit(column).alias("column"),
         F.col("failures").cast("bigint").alias("failures"),
         (F.col("failures") == 0).alias("passed"),
     )
 
 
+def _known_keys(check: Check, tables: Mapping[str, DataFrame]) -> DataFrame:
+    """The parent's keys, each once, with a marker."""
+    keys = tables[check.parent].select(F.col(check.parent_column).alias("_parent")).filter("_parent is not null")
+    return keys.distinct().withColumn("_known", F.lit(True))
+
+
+def _one_pass(df: DataFrame, checks: Sequence[Check], parents: Mapping[Check, DataFrame]) -> DataFrame:
+    """Checks that look at a row by itself, or at a parent small enough to broadcast: one scan of ``df``."""
+    bad = []
+    for n, c in enumerate(checks):
+        if c.test == "not_null":
+            bad.append(F.col(c.column).isNull())
+        elif c.test == "empty":
+            bad.append(F.expr(c.predicate))
+        else:
+            keys = parents[c].withColumnsRenamed({"_parent": f"_parent{n}", "_known": f"_known{n}"})
+            df = df.join(F.broadcast(keys), F.col(c.column) == F.col(f"_parent{n}"), "left")
+            bad.append(F.col(c.column).isNotNull() & F.col(f"_known{n}").isNull())
+    counts = df.agg(*[F.count_if(b).alias(f"n{n}") for n, b in enumerate(bad)])
+    rows = [
+        F.struct(
+            F.lit(c.test).alias("test"),
+            F.lit(c.table).alias("table"),
+            F.lit(c.column).alias("column"),
+            F.col(f"n{n}").cast("bigint").alias("failures"),
+            (F.col(f"n{n}") == 0).alias("passed"),
+        )
+        for n, c in enumerate(checks)
+    ]
+    return counts.select(F.inline(F.array(*rows)))
+
+
 def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
-    """One row ``(test, table, column, failures, passed)`` per check."""
+    """One row ``(test, table, column, failures, passed)`` per check.
+
+    Per table, one scan serves null counts, predicates and the foreign keys whose parents
+    may be broadcast; only unique keys and large parents take a shuffle, and a scan, of their own.
+    """
     parts: list[DataFrame] = []
-    nullable: dict[str, list[str]] = {}
+    together: dict[str, list[Check]] = {}
+    parents: dict[Check, DataFrame] = {}
     for c in checks:
         df = tables[c.table]
-        if c.test == "not_null":
-            nullable.setdefault(c.table, []).append(c.column)
+        if c.test in ("not_null", "empty"):
+            together.setdefault(c.table, []).append(c)
         elif c.test == "unique":
             parts.append(_labelled(check_unique(df, c.column), c.test, c.table, c.column))
         elif c.test == "relationship":
-            found = check_relationship(df, c.column, tables[c.parent], c.parent_column)
-            parts.append(_labelled(found, c.test, c.table, c.column))
-        elif c.test == "empty":
-            parts.append(_labelled(check_empty(df, c.predicate), c.test, c.table, c.column))
+            keys = _known_keys(c, tables)
+            if fits_broadcast(keys):
+                parents[c] = keys
+                together.setdefault(c.table, []).append(c)
+            else:
+                found = check_relationship(df, c.column, tables[c.parent], c.parent_column)
+                parts.append(_labelled(found, c.test, c.table, c.column))
         else:
             raise ValueError(f"unknown test: {c.test!r}")
-    for table, columns in nullable.items():
-        parts.append(_labelled(check_not_null(tables[table], *columns), "not_null", table))
+    parts += [_one_pass(tables[table], own, parents) for table, own in together.items()]
     return reduce(DataFrame.unionByName, parts)

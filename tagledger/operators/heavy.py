@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Largest number of rows sent to every executor; dimension rows are a few
-# hundred bytes, so this stays well below the broadcast limit.
+# Largest table sent to every executor, in rows and in bytes of their text form.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
 
 # A key above this many rows is spread over several tasks.
 HOT_ROWS = 10_000_000
@@ -15,7 +15,6 @@ HOT_ROWS = 10_000_000
 # The frequency sketch keeps this many counters, at most about a megabyte: every
 # key with more than about 1/9000 of all rows is certain to be in it.
 SKETCH_ITEMS = 20_000
-SKETCH_TOP = 5_000
 SKETCH_GROUPS = 64
 
 
@@ -36,8 +35,8 @@ def heavy_values(df: DataFrame, exprs: dict[str, Column], min_rows: int = HOT_RO
     merged = sketches.groupBy((F.col("_group") * 0).alias("_all")).agg(
         *[F.expr(f"approx_top_k_combine(`{n}`, {SKETCH_ITEMS})").alias(n) for n in exprs]
     )
-    # One row of at most SKETCH_TOP values per expression comes to the driver.
-    row = merged.select(*[F.expr(f"approx_top_k_estimate(`{n}`, {SKETCH_TOP})").alias(n) for n in exprs]).first()
+    # One row of all values the sketch still holds, so at most SKETCH_ITEMS per expression.
+    row = merged.select(*[F.expr(f"approx_top_k_estimate(`{n}`, {SKETCH_ITEMS})").alias(n) for n in exprs]).first()
     if row is None:
         return {n: [] for n in exprs}
     return {
@@ -50,9 +49,11 @@ def heavy_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS) -> list:
     return heavy_values(df, {key: F.col(key)}, min_rows)[key]
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Count at most ``max_rows + 1`` rows to learn if ``df`` is small."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Measure at most ``max_rows + 1`` rows to learn if ``df`` is small in rows and in bytes."""
+    width = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(df.columns)])))
+    size = df.limit(max_rows + 1).agg(F.count("*").alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()
+    return size["rows"] <= max_rows and size["bytes"] <= max_bytes
 
 
 def lookup_join(
@@ -61,12 +62,13 @@ def lookup_join(
     on: Column,
     how: str = "left",
     max_rows: int = BROADCAST_ROWS,
+    max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Join to a lookup table: broadcast it if its checked size allows.
 
-    Beyond ``max_rows`` the planner joins by shuffle; adaptive execution splits
+    Beyond ``max_rows`` or ``max_bytes`` the planner joins by shuffle; adaptive execution splits
     the partitions of hot keys there.
     """
-    if fits_broadcast(small, max_rows):
+    if fits_broadcast(small, max_rows, max_bytes):
         small = F.broadcast(small)
     return df.join(small, on, how)

@@ -53,10 +53,5 @@ def silver_metrics(bronze: DataFrame, slot: Slot) -> DataFrame:
 
 
 def observed_silver(bronze: DataFrame, slot: Slot, counts: Observation) -> DataFrame:
-    """``build_silver`` laid out for the write, its counts taken while it is written.
-
-    The rebalance makes files of a good size per category and cuts a hot
-    category into several; the counts sit after it, in the writing stage.
-    """
-    laid_out = counted_silver(bronze, slot).hint("rebalance", "category")
-    return laid_out.observe(counts, *metric_columns()).filter(VALID).select(*SILVER_COLUMNS)
+    """``build_silver`` with its counts taken while it is written."""
+    return counted_silver(bronze, slot).observe(counts, *metric_columns()).filter(VALID).select(*SILVER_COLUMNS)

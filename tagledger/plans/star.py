@@ -8,14 +8,17 @@ from pyspark.sql import DataFrame
 
 from tagledger.operators.dims import dim_category, dim_date, dim_platform, dim_product
 from tagledger.operators.fact import Dims, build_fact
+from tagledger.session import stage
 from tagledger.sinks.tables import materialize_table, materialize_view, sorted_layout
 from tagledger.sources.spine import SPINE_DAYS, SPINE_START
 
 
 def build_dims(staging: DataFrame, start: date = SPINE_START, days: int = SPINE_DAYS) -> Dims:
+    """The small dimensions are numbered from one collapse of staging, not from a scan each."""
+    names = stage(staging.select("category", "source").distinct(), "names")
     return Dims(
-        category=dim_category(staging),
-        platform=dim_platform(staging),
+        category=dim_category(names),
+        platform=dim_platform(names),
         date=dim_date(staging.sparkSession, start, days),
         product=dim_product(staging),
     )

@@ -27,11 +27,11 @@ def _hadoop_path(spark: SparkSession, name: str):
     return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def any_file(spark: SparkSession, pattern: str) -> bool:
-    """Does the path pattern match anything?"""
-    path, fs = _hadoop_path(spark, pattern)
-    found = fs.globStatus(path)
-    return found is not None and len(found) > 0
+def any_file(spark: SparkSession, folders: str) -> bool:
+    """Is there anything in one of the folders?  Stops at the first find; files are not listed."""
+    path, fs = _hadoop_path(spark, folders)
+    found = fs.globStatus(path) or ()
+    return any(f.isFile() or fs.listStatusIterator(f.getPath()).hasNext() for f in found)
 
 
 @contextmanager
@@ -63,7 +63,8 @@ def scratch_root(spark: SparkSession) -> str:
     if not named:
         named = spark.sparkContext.getCheckpointDir()
     if not named:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         named = tempfile.mkdtemp(prefix="tagledger-")
         spark.sparkContext.setCheckpointDir(named)

@@ -22,7 +22,8 @@ def replace_slot(df: DataFrame, root: str, slot: Slot) -> int:
 
     Rows go to the slot's own day even where ``scraped_at`` is of another day, so
     a replay overwrites what it wrote before and nothing else.  Returns the
-    number of such rows.
+    number of such rows.  The rebalance makes few files per category and cuts a
+    hot category into several.
     """
     off_slot = Observation()
     elsewhere = ~F.col("run_date").eqNullSafe(F.lit(slot.run_date))
@@ -32,7 +33,8 @@ def replace_slot(df: DataFrame, root: str, slot: Slot) -> int:
         .select(*SILVER_COLUMNS)
     )
     (
-        placed.write.mode("overwrite")
+        placed.hint("rebalance", *SLOT_PARTITIONS)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*SLOT_PARTITIONS)
         .parquet(root)

@@ -9,13 +9,17 @@ from tagledger.schemas import BRONZE, Slot
 from tagledger.session import any_file
 
 
+def slot_folders(root: str, source: str, slot: Slot) -> str:
+    return f"{root.rstrip('/')}/source={source}/category=*/{slot.folder}"
+
+
 def slot_glob(root: str, source: str, slot: Slot) -> str:
-    return f"{root.rstrip('/')}/source={source}/category=*/{slot.folder}/*"
+    return f"{slot_folders(root, source, slot)}/*"
 
 
 def slot_exists(spark: SparkSession, root: str, source: str, slot: Slot) -> bool:
     """Is there a file of the slot in any category?  Lists only the slot's folders."""
-    return any_file(spark, slot_glob(root, source, slot))
+    return any_file(spark, slot_folders(root, source, slot))
 
 
 def _array_files(spark: SparkSession, pattern: str) -> tuple[list[str], int]:

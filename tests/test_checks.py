@@ -1,6 +1,7 @@
 import pytest
 
 from tagledger.operators.checks import STAR_CHECKS, Check, run_checks
+from tagledger.session import stage
 
 
 @pytest.fixture
@@ -41,3 +42,20 @@ def test_unknown_check(tables):
 def test_the_standard_set():
     kinds = [c.test for c in STAR_CHECKS]
     assert {k: kinds.count(k) for k in set(kinds)} == {"unique": 5, "not_null": 12, "relationship": 4, "empty": 1}
+
+
+def test_rows_and_small_parents_take_one_scan(tables, capsys):
+    stored = {name: stage(df, name) for name, df in tables.items()}
+    checks = [Check("not_null", "child", c) for c in ("parent_id", "mrp")]
+    checks += [Check("empty", "child", "mrp", predicate="mrp < 0"), Check("relationship", "child", "parent_id", "parent", "id")]
+    report = run_checks(stored, checks)
+    report.explain()
+    assert capsys.readouterr().out.count("FileScan") == 2  # the child and its parent
+    assert [r["failures"] for r in report.collect()] == [1, 1, 1, 2]
+
+
+def test_large_parent_is_joined_by_shuffle(tables, monkeypatch):
+    from tagledger.operators import checks
+
+    monkeypatch.setattr(checks, "fits_broadcast", lambda df: False)
+    assert run_checks(tables, [Check("relationship", "child", "parent_id", "parent", "id")]).first()["failures"] == 2

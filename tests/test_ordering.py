@@ -93,3 +93,13 @@ def test_lookup_join_is_the_same_on_both_ways(spark, skewed):
     small, large = (lookup_join(skewed, names, on, max_rows=n) for n in (500, 5))
     assert small.exceptAll(large).isEmpty() and large.exceptAll(small).isEmpty()
     assert small.count() == skewed.count()
+
+
+def test_no_top_of_heavy_keys(spark):
+    keys = spark.range(24_000).select((F.col("id") % 8_000).alias("k"))
+    assert sorted(heavy_keys(keys, "k", 3)) == list(range(8_000))
+
+
+def test_broadcast_is_checked_by_bytes(spark):
+    wide = spark.range(10).select(F.lit("x" * 1000).alias("t"))
+    assert fits_broadcast(wide, 10, 20_000) and not fits_broadcast(wide, 10, 5_000)

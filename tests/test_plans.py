@@ -57,7 +57,8 @@ def test_no_python_in_any_core_plan(base, star, capsys):
         card_records(extract_cards(pages, CardRules("https://h"))),
     ):
         text = plan(df, capsys)
-        assert not re.search("Python|Arrow|MapInPandas|Pandas", text)
+        # Not "Arrow" alone: the table of character references in the page plan names arrows.
+        assert not re.search("Python|Pandas|InArrow", text)
 
 
 def test_silver_shuffles_once(spark, capsys):

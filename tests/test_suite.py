@@ -1,4 +1,4 @@
-"""Every registered query gives the rows its SQL gives on the same tables."""
+"""Every registered query that has SQL gives the rows its SQL gives on the same tables."""
 
 import os
 
@@ -7,6 +7,8 @@ import pytest
 
 import __spark_entry__ as contract
 from compare import TABLES, differences
+from tagledger.suite.oracles import ORACLES
+from tagledger.suite.queries import QUERIES
 
 SF_DIR = os.environ.get("SUITE_SF_DIR", "/root/testdata/sf0.001")
 
@@ -20,10 +22,12 @@ def connection():
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    """Of the core; the operators on training text have SQL only where it can express them."""
+    assert set(QUERIES) == set(ORACLES)
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
 def test_query_matches_sql(spark, connection, name):
     found = contract.queries()[name](spark, SF_DIR)
     assert differences(found, connection, contract.oracle_sql()[name]) == []
