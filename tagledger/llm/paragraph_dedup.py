@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +45,10 @@ BANDS = 12
 ROWS = 4
 SENTENCE_WORDS = 4
 PART = 1_000  # members of a band group that are compared in one go
+_SLICE = 2_048  # elements that are permuted at once
+_WORDS_HELD = 20_000  # words of a text whose shingles are made at once, and the line they end in
 
+_LINES = re.compile(r"\n+")
 _BREAK = re.compile(r"(?<=[.!?])[ \t]+|\n+")
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 _PERMUTE = np.random.default_rng(11).integers(1, 2**63, (2, BANDS * ROWS), np.uint64) | np.uint64(1)
@@ -81,38 +85,74 @@ def sentences(text: str) -> Iterator[tuple[int, int, int, int]]:
             yield start, stop, len(own), _signed(_digest(" ".join(own).encode("utf-8", "surrogatepass")))
 
 
-def shingles(words: list[bytes]) -> np.ndarray:
-    """Distinct 32-bit hashes of runs of words."""
-    own = np.array([_digest(w) for w in words], np.uint64)
-    width = min(SHINGLE, len(own))
-    count = len(own) - width + 1
-    mixed = sum(own[i : i + count] * _ODD[i] for i in range(width))
-    return np.unique(((mixed ^ mixed >> np.uint64(31)) * _ODD[0] >> np.uint64(32)).astype(np.uint32))
+def distinct_values(values: np.ndarray) -> np.ndarray:
+    """Sorted, each once."""
+    ordered = np.sort(values)
+    fresh = np.ones(len(ordered), bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=fresh[1:])
+    return ordered[fresh]
+
+
+def shingles(lines: list[list[bytes]]) -> list[np.ndarray]:
+    """Distinct 32-bit hashes of runs of words, line by line."""
+    own = np.fromiter(map(_digest, chain.from_iterable(lines)), np.uint64)
+    count = max(0, len(own) - SHINGLE + 1)
+    mixed = np.zeros(count, np.uint64)
+    for i in range(SHINGLE):
+        mixed += own[i : i + count] * _ODD[i]
+    at, out = 0, []
+    for line in lines:
+        size = len(line)
+        # A shorter line is one run of all its words.
+        part = mixed[at : at + size - SHINGLE + 1] if size >= SHINGLE else (own[at : at + size] * _ODD[:size]).sum(keepdims=True)
+        out.append(distinct_values(((part ^ part >> np.uint64(31)) * _ODD[0] >> np.uint64(32)).astype(np.uint32)))
+        at += size
+    return out
 
 
-def bands(elements: np.ndarray, kind: int) -> np.ndarray:
-    """Hashes of the bands of the MinHash signature."""
-    wide = elements.astype(np.uint64)
-    least = np.full(BANDS * ROWS, ~np.uint64(0))
-    for start in range(0, len(wide), 4096):
-        part = (wide[start : start + 4096, None] + np.uint64(1)) * _PERMUTE[0] + _PERMUTE[1]
-        least = np.minimum(least, (part ^ part >> np.uint64(33)).min(axis=0))
-    mixed = least.reshape(BANDS, ROWS) @ _ODD[:ROWS] + np.arange(kind * BANDS, (kind + 1) * BANDS, dtype=np.uint64)
+def bands(lists: list[np.ndarray], kinds: list[int]) -> np.ndarray:
+    """Hashes of the bands of the MinHash signatures, one row per list; many lists are hashed at once."""
+    least = np.full((BANDS * ROWS, len(lists)), ~np.uint64(0))
+    ends = np.cumsum([0, *map(len, lists)])
+    flat = np.concatenate([np.empty(0, np.uint32), *lists]).astype(np.uint64) + np.uint64(1)
+    for start in range(0, len(flat), _SLICE):
+        stop = min(len(flat), start + _SLICE)
+        # The lists of this slice; the first and the last may reach beyond it.
+        first, last = np.searchsorted(ends, start, "right") - 1, np.searchsorted(ends, stop)
+        part = flat[start:stop] * _PERMUTE[0][:, None] + _PERMUTE[1][:, None]
+        part ^= part >> np.uint64(33)
+        own = np.minimum.reduceat(part, np.maximum(ends[first:last], start) - start, axis=1)
+        np.minimum(least[:, first:last], own, out=least[:, first:last])
+    mixed = np.tensordot(_ODD[:ROWS], least.reshape(BANDS, ROWS, -1), (0, 1)).T
+    mixed = mixed + np.arange(BANDS, dtype=np.uint64) + np.array(kinds, np.uint64)[:, None] * np.uint64(BANDS)
     mixed = (mixed ^ mixed >> np.uint64(29)) * _ODD[4]
     return (mixed ^ mixed >> np.uint64(32)).view(np.int64)
 
 
 def unit(kind: int, start: int, stop: int, words: int, elements: np.ndarray) -> dict:
-    own = {"kind": kind, "start": start, "stop": stop, "words": words, "elements": elements.view(np.int32)}
-    return own | {"digest": _signed(_digest(elements.tobytes(), kind)), "bands": bands(elements, kind)}
+    digest = _signed(_digest(elements.tobytes(), kind))
+    return {"kind": kind, "start": start, "stop": stop, "words": words, "digest": digest, "elements": elements}
 
 
 def line_units(text: str | None, min_words: int) -> list[dict]:
-    out = []
-    for start, stop in spans(text or "", re.compile(r"\n+")):
+    out, places, held, size = [], [], [], 0
+
+    def close():
+        sets = shingles(held)
+        out.extend(unit(LINE, *place, len(words), own) for place, words, own in zip(places, held, sets))
+        places.clear()
+        held.clear()
+
+    for start, stop in spans(text or "", _LINES):
         words = text[start:stop].lower().encode("utf-8", "surrogatepass").split()
         if len(words) >= min_words:
-            out.append(unit(LINE, start, stop, len(words), shingles(words)))
+            places.append((start, stop))
+            held.append(words)
+            size += len(words)
+            if size > _WORDS_HELD:
+                close()
+                size = 0
+    close()
     return out
 
 
@@ -158,16 +198,20 @@ def _scan_sentences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 def _unit_array(lists: list[list[dict]]) -> pa.Array:
-    """Lists of units as one Arrow array, built column by column."""
+    """Lists of units as one Arrow array, built column by column.  Equal units are hashed once."""
     flat = [u for own in lists for u in own]
+    place = {u["digest"]: n for n, u in enumerate(flat)}
+    known = bands([flat[n]["elements"] for n in place.values()], [flat[n]["kind"] for n in place.values()])
+    row = {digest: n for n, digest in enumerate(place)}
+    hashed = known[np.array([row[u["digest"]] for u in flat], np.int64)].ravel()
+    elements = np.concatenate([np.empty(0, np.uint32), *[u["elements"] for u in flat]]).view(np.int32)
 
-    def nested(name: str, kind: pa.DataType) -> pa.Array:
-        ends = np.cumsum([0, *[len(u[name]) for u in flat]]).astype(np.int32)
-        values = np.concatenate([np.empty(0, kind.to_pandas_dtype()), *[u[name] for u in flat]])
-        return pa.ListArray.from_arrays(pa.array(ends), pa.array(values, kind))
+    def nested(sizes: list[int], values: np.ndarray) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes]).astype(np.int32)), pa.array(values))
 
     columns = [pa.array([u[n] for u in flat], pa.int32()) for n in ("kind", "start", "stop", "words")]
-    columns += [pa.array([u["digest"] for u in flat], pa.int64()), nested("bands", pa.int64()), nested("elements", pa.int32())]
+    columns += [pa.array([u["digest"] for u in flat], pa.int64()), nested([BANDS] * len(flat), hashed)]
+    columns.append(nested([len(u["elements"]) for u in flat], elements))
     ends = np.cumsum([0, *map(len, lists)]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(columns, fields=list(_UNIT)))
 

@@ -223,7 +223,8 @@ def test_crowded_bands_lose_no_link(spark):
     base = [draw.randrange(2**31) for _ in range(60)]
     sets = [np.unique(np.array(base[:55] + [draw.randrange(2**31) for _ in range(5)], np.uint32)) for _ in range(80)]
     units = [paragraph_dedup.unit(0, 0, 1, 60, s) for s in sets]
-    rows = [(u["digest"], u["bands"].tolist(), u["elements"].tolist()) for u in units]
+    hashed = paragraph_dedup.bands(sets, [0] * 80)
+    rows = [(u["digest"], b.tolist(), s.view(np.int32).tolist()) for u, b, s in zip(units, hashed, sets)]
     df = spark.createDataFrame(rows, "digest long, bands array<long>, elements array<int>")
     ids = [u["digest"] for u in units]
     pairs = [(ids[i], ids[j]) for i in range(80) for j in range(i) if paragraph_dedup.jaccard(sets[i], sets[j]) >= 0.8]
@@ -232,6 +233,18 @@ def test_crowded_bands_lose_no_link(spark):
         assert {n: got.get(n, n) for n in ids} == union(ids, pairs)
 
 
+def test_signatures_do_not_depend_on_neighbours():
+    draw = np.random.default_rng(3)
+    sets = [np.unique(draw.integers(0, 2**32, n, np.uint32)) for n in (1, 40, 9_000, 5, 3_000, 1, 700)]
+    together = paragraph_dedup.bands(sets, [0, 1, 0, 1, 0, 1, 0])
+    for i, own in enumerate(sets):
+        assert together[i].tolist() == paragraph_dedup.bands([own], [i % 2])[0].tolist()
+    lines = [[b"a"], [b"%d" % i for i in range(90)], [b"x", b"y", b"x"], [b"z"] * 50]
+    for line, own in zip(lines, paragraph_dedup.shingles(lines)):
+        assert own.tolist() == paragraph_dedup.shingles([line])[0].tolist()
+        assert len(own) == len({tuple(line[i : i + 5]) for i in range(max(1, len(line) - 4))})
+
+
 def test_passage_edges(spark):
     text = " ".join(f"w{i}" for i in range(60)) + "."
     rows = [(1, text), (1, text), (2, text), (3, text + "\n" + text), (4, "short one.")]
