@@ -3,23 +3,25 @@
 Two kinds of paragraphs are compared, each with its own kind:
 
 * lines, as sets of five-word shingles;
-* runs of sentences that occur more than once in the corpus, as sets of sentences.  They find
-  passages that stand inside longer lines, wherever their lines break.  A run ends where a
-  sentence occurs only once; the parts of a run whose sentences occur equally often are
-  runs of their own too, so a passage is found next to other repeated text.
+* runs of words whose five-word shingles all occur more than once, as sets of these shingles.
+  They find passages that stand inside longer lines, wherever their lines or sentences break.
+  The shingles over the seam of two passages are rarer than those within, so for every count in
+  a run the parts that occur at least so often are runs of their own: a passage is found next to
+  other repeated text, and also if a part of it is more frequent.
 
 Equal paragraphs are one node.  Distinct ones get MinHash signatures cut into bands, tuned so
 that a pair at the threshold is found with a probability of 99.8 %.  Paragraphs that share a
 band are checked by exact Jaccard similarity, and links form components.  Of every component the
-first occurrence (by document id, then place) stays; the others are removed.
+first occurrence (by document id, then place) stays, with what overlaps it; the others are removed.
 
-How it scales: sentences are counted with partial sums.  A group that shares a band is not
+How it scales: of every ``min_words - 4`` shingles in a row the least by hash is an anchor, so any
+shared run of ``min_words`` words shares one.  Anchors are counted with partial sums, and only
+shingles near an anchor that repeats are spelled out, counted and joined.  A group that shares a band is not
 spelled out in pairs: its members are compared inside a task, only across what is not yet
 connected, and a spanning forest is returned.  A group of more members than fit is dealt to
 all pairs of its parts, each of bounded size, so no pair is lost.
 
-Paragraphs of fewer than ``min_words`` words are left alone, as are sentences of fewer than
-four words outside longer runs.  Null and empty texts have no paragraphs.  Rows equal in id and
+Paragraphs of fewer than ``min_words`` words are left alone.  Null and empty texts have no paragraphs.  Rows equal in id and
 text are one document.  Null ids come first in the order.
 """
 
@@ -43,19 +45,20 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS = 12
 ROWS = 4
-SENTENCE_WORDS = 4
 PART = 1_000  # members of a band group that are compared in one go
 _SLICE = 2_048  # elements that are permuted at once
 _WORDS_HELD = 20_000  # words of a text whose shingles are made at once, and the line they end in
 
 _LINES = re.compile(r"\n+")
-_BREAK = re.compile(r"(?<=[.!?])[ \t]+|\n+")
+_WORD = re.compile(r"\S+")
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 _PERMUTE = np.random.default_rng(11).integers(1, 2**63, (2, BANDS * ROWS), np.uint64) | np.uint64(1)
 _digest = xxhash.xxh3_64_intdigest
 
 LINE, RUN = 0, 1
-_SENTENCES = "doc_id {kind}, tie bigint, at int, start int, stop int, words int, sentence bigint"
+_ANCHORS = "doc_id {kind}, tie bigint, at int, shingle bigint"
+_NEAR = _ANCHORS + ", start int, stop int"
+_ROWS_OUT = 65_536  # rows of a batch of shingles, and the text they end in
 _UNIT = pa.struct(
     [("kind", pa.int32()), ("start", pa.int32()), ("stop", pa.int32()), ("words", pa.int32()), ("digest", pa.int64()),
      ("bands", pa.list_(pa.int64())), ("elements", pa.list_(pa.int32()))]
@@ -77,12 +80,34 @@ def spans(text: str, pattern: re.Pattern) -> Iterator[tuple[int, int]]:
         yield start, len(text)
 
 
-def sentences(text: str) -> Iterator[tuple[int, int, int, int]]:
-    """(start, stop, words, hash) of the sentences that have enough words."""
-    for start, stop in spans(text, _BREAK):
-        own = text[start:stop].lower().split()
-        if len(own) >= SENTENCE_WORDS:
-            yield start, stop, len(own), _signed(_digest(" ".join(own).encode("utf-8", "surrogatepass")))
+def word_shingles(text: str) -> np.ndarray:
+    """64-bit hashes of the runs of words, by the number of their first word."""
+    words = "\n".join(text.lower().split()).encode("utf-8", "surrogatepass").split(b"\n")
+    own = np.fromiter(map(_digest, words), np.uint64, len(words))
+    if len(own) < SHINGLE:
+        return np.empty(0, np.int64)
+    count = len(own) - SHINGLE + 1
+    mixed = np.zeros(count, np.uint64)
+    for i in range(SHINGLE):
+        mixed += own[i : i + count] * _ODD[i]
+    mixed = (mixed ^ mixed >> np.uint64(31)) * _ODD[0]
+    return (mixed ^ mixed >> np.uint64(29)).view(np.int64)
+
+
+def anchors(hashes: np.ndarray, window: int) -> np.ndarray:
+    """Places of the least hash of every window; equal windows have it at the same place."""
+    if len(hashes) < window:
+        return np.empty(0, np.int64)
+    least = np.lib.stride_tricks.sliding_window_view(hashes, window).argmin(axis=1) + np.arange(len(hashes) - window + 1)
+    return distinct_values(least)
+
+
+def near(places: np.ndarray, window: int, count: int) -> np.ndarray:
+    """Places among ``count`` that share a window with one of the places."""
+    edges = np.zeros(count + 1, np.int64)
+    np.add.at(edges, np.maximum(places - window + 1, 0), 1)
+    np.add.at(edges, np.minimum(places + window, count), -1)
+    return np.flatnonzero(np.cumsum(edges[:-1]))
 
 
 def distinct_values(values: np.ndarray) -> np.ndarray:
@@ -156,24 +181,33 @@ def line_units(text: str | None, min_words: int) -> list[dict]:
     return out
 
 
+def levels(counts: list[int]) -> list[tuple[int, int]]:
+    """(first, behind last) of all longest parts whose counts are at least some number."""
+    out, held = [], []
+    for i, count in enumerate([*counts, 0]):
+        first = i
+        while held and held[-1][1] > count:
+            first = held.pop()[0]
+            out.append((first, i))
+        if not held or held[-1][1] < count:
+            held.append((first, count))
+    return out
+
+
 def run_units(found: list[dict], min_words: int) -> list[dict]:
-    """Runs among the repeated sentences of a document, in order of place."""
-    cuts = {}
-    for equal in (False, True):
-        run: list[dict] = []
-        for one in [*found, None]:
-            joins = one and run and one["at"] == run[-1]["at"] + 1 and not (equal and one["count"] != run[-1]["count"])
-            if not joins:
-                if sum(s["words"] for s in run) >= min_words:
-                    cuts[run[0]["start"], run[-1]["stop"]] = run
-                run = []
-            if one:
-                run.append(one)
-    out = []
-    for (start, stop), run in cuts.items():
-        hashes = np.array([s["sentence"] for s in run], np.int64).view(np.uint64)
-        elements = np.unique((hashes >> np.uint64(32)).astype(np.uint32))
-        out.append(unit(RUN, start, stop, sum(s["words"] for s in run), elements))
+    """Runs among the repeated shingles of a document, in order of place."""
+    out, run = [], []
+    for one in [*found, None]:
+        if run and (one is None or one["at"] != run[-1]["at"] + 1):
+            hashes = np.array([s["shingle"] for s in run], np.int64).view(np.uint64)
+            elements = (hashes >> np.uint64(32)).astype(np.uint32)
+            for first, last in levels([s["count"] for s in run]):
+                words = last - first + SHINGLE - 1
+                if words >= min_words:
+                    own = distinct_values(elements[first:last])
+                    out.append(unit(RUN, run[first]["start"], run[last - 1]["stop"], words, own))
+            run = []
+        run.append(one)
     return out
 
 
@@ -181,20 +215,39 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.withColumn("tie", F.xxhash64(F.coalesce("text", F.lit(""))))
 
 
-def _scan_sentences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows, columns = [], [[] for _ in range(5)]
-        for n, text in enumerate(batch.column("text").to_pylist()):
-            for at, own in enumerate(sentences(text or "")):
-                rows.append(n)
-                for column, value in zip(columns, (at, *own)):
-                    column.append(value)
-        take = pa.array(rows, pa.int32())
-        typed = [pa.array(c, t) for c, t in zip(columns, (pa.int32(),) * 4 + (pa.int64(),))]
-        yield pa.record_batch(
-            [batch.column("doc_id").take(take), batch.column("tie").take(take), *typed],
-            names=["doc_id", "tie", "at", "start", "stop", "words", "sentence"],
-        )
+def _shingle_rows(near_too: bool, window: int):
+    """Rows of the anchors of each text, or of all shingles near the anchors in column ``places``."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, parts, size = [], [], 0
+
+            def close() -> pa.RecordBatch:
+                take = pa.array(np.concatenate(rows))
+                columns = [pa.array(np.concatenate(c)) for c in zip(*parts)]
+                names = ["doc_id", "tie", "at", "shingle", "start", "stop"][: 2 + len(columns)]
+                return pa.record_batch([batch.column("doc_id").take(take), batch.column("tie").take(take), *columns], names=names)
+
+            for n, text in enumerate(batch.column("text")):
+                text = text.as_py() or ""
+                hashes = word_shingles(text)
+                if near_too:
+                    places = near(batch.column("places")[n].values.to_numpy(zero_copy_only=False), window, len(hashes))
+                    starts = np.array([*(m.start() for m in _WORD.finditer(text)), len(text)], np.int32)
+                    part = [places.astype(np.int32), hashes[places], starts[places], starts[places + SHINGLE]]
+                else:
+                    places = anchors(hashes, window)
+                    part = [places.astype(np.int32), hashes[places]]
+                rows.append(np.full(len(places), n, np.int32))
+                parts.append(part)
+                size += len(places)
+                if size > _ROWS_OUT:
+                    yield close()
+                    rows, parts, size = [], [], 0
+            if rows:
+                yield close()
+
+    return scan
 
 
 def _unit_array(lists: list[list[dict]]) -> pa.Array:
@@ -229,12 +282,20 @@ def units(docs: DataFrame, min_words: int) -> DataFrame:
     """Occurrences of paragraphs: (doc_id, tie, kind, start, stop, words, digest, bands, elements)."""
     kind = dict(docs.dtypes)["doc_id"]
     keyed = _keyed(docs.select("doc_id", "text"))
-    found = keyed.mapInArrow(_scan_sentences, _SENTENCES.format(kind=kind))
-    counts = found.groupBy(F.col("sentence").alias("_sentence")).agg(F.count("*").alias("count")).filter("count > 1")
-    repeated = found.join(stage(counts, "sentences"), F.col("sentence") == F.col("_sentence"))
-    each = F.struct("at", "start", "stop", "words", "sentence", F.col("count"))
-    # One row per document, no larger than the document.  Copies of a row give each sentence once.
-    per_doc = repeated.groupBy("doc_id", "tie").agg(F.array_sort(F.collect_set(each)).alias("found"))
+    window = max(1, min_words - SHINGLE + 1)
+
+    def repeated(found: DataFrame, name: str) -> DataFrame:
+        counts = found.groupBy(F.col("shingle").alias("_shingle")).agg(F.count("*").alias("count")).filter("count > 1")
+        return found.join(stage(counts, name), F.col("shingle") == F.col("_shingle"))
+
+    marked = repeated(keyed.mapInArrow(_shingle_rows(False, window), _ANCHORS.format(kind=kind)), "anchors")
+    marked = marked.groupBy(F.col("doc_id").alias("_id"), F.col("tie").alias("_tie")).agg(F.collect_set("at").alias("places"))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("tie") == F.col("_tie"))
+    held = keyed.join(stage(marked, "marked"), same).select("doc_id", "tie", "text", "places")
+    close = stage(held.mapInArrow(_shingle_rows(True, window), _NEAR.format(kind=kind)), "near-anchors")
+    each = F.struct("at", "start", "stop", "shingle", F.col("count"))
+    # One row per document.  Copies of a row give each shingle once.
+    per_doc = repeated(close, "shingles").groupBy("doc_id", "tie").agg(F.array_sort(F.collect_set(each)).alias("found"))
     runs = per_doc.select("doc_id", "tie", _unit_column(F.col("found"), run_units, min_words).alias("units"))
     lines = keyed.select("doc_id", "tie", _unit_column(F.col("text"), line_units, min_words).alias("units"))
     return runs.unionByName(lines).select("doc_id", "tie", F.inline("units"))
@@ -329,7 +390,12 @@ def repeated_passages(
     first = placed.groupBy(F.col("component_id").alias("_component")).agg(F.min(place).alias("first"), F.count("*").alias("n"))
     first = stage(first.filter("n > 1"), "passages-first")
     listed = placed.join(first, F.col("component_id") == F.col("_component"))
-    return listed.select(
+    # Runs within or around the first one, in the same text, are no second occurrence.
+    here = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("tie") == F.col("first.tie"))
+    kept = here & (F.col("start") < F.col("first.stop")) & (F.col("stop") > F.col("first.start"))
+    listed = stage(listed.withColumn("kept", kept), "passages-listed")
+    twice = listed.filter("not kept").select(F.col("component_id").alias("_repeated")).distinct()
+    return listed.join(twice, F.col("component_id") == F.col("_repeated"), "left_semi").select(
         "doc_id",
         "tie",
         "start",
@@ -337,7 +403,7 @@ def repeated_passages(
         F.col("words").alias("n_words"),
         F.col("first.doc_id").alias("kept_doc_id"),
         "component_id",
-        (place == F.col("first")).alias("kept"),
+        "kept",
     )
 
 

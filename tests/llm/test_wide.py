@@ -256,6 +256,49 @@ def test_passage_edges(spark):
     assert paragraph_dedup.passage_report(df.limit(0)).count() == 0
 
 
+def _words(draw, n):
+    return ["".join(draw.choice("abcdefghij") for _ in range(draw.randint(4, 9))) for _ in range(n)]
+
+
+def test_passages_amid_sentences_and_beside_others(spark):
+    draw = random.Random(12)
+    p, q, long = (" ".join(_words(draw, n)) for n in (60, 55, 70))
+    own = [" ".join(_words(draw, 50)) for _ in range(9)]
+    inner = " ".join(long.split()[30:42])
+    rows = [
+        # Amid a sentence, without stops.
+        (1, f"{own[0]}, {p} {own[1]}"),
+        (2, f"{own[2]} {p}, {own[3]}"),
+        # Next to another one that is as frequent, both also alone.
+        (3, f"{own[4]} {p} {q} {own[5]}"),
+        (4, f"{own[6]} {q} {own[7]}"),
+        # A part of the passage stands elsewhere as well.
+        (5, f"{own[8]} {long}"),
+        (6, f"{long} {own[0][:20]}"),
+        (7, f"uno {inner} dos"),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r["doc_id"]: " ".join(r["text"].split()) for r in paragraph_dedup.without_repeats(df).collect()}
+    assert out[1] == rows[0][1] and out[5] == rows[4][1] and out[7] == rows[6][1]
+    # Up to a word next to the passage may be equal by its comma only.
+    assert p.split()[10] not in out[2] and out[2].startswith(own[2]) and own[3] in out[2]
+    assert out[3] == f"{own[4]} {q} {own[5]}"
+    assert out[4] == f"{own[6]} {own[7]}"
+    assert out[6] == own[0][:20].strip()
+
+
+def test_unique_words_inside_a_repeated_run_stay(spark):
+    draw = random.Random(13)
+    first, last = (" ".join(_words(draw, 50)).capitalize() + "." for _ in range(2))
+    rows = [(1, f"{first} Name: Bob. {last}"), (2, f"{first} Total: 42. {last}")]
+    # Short lines, so that only the runs count.
+    rows = [(i, "\n".join(" ".join(t.split()[k : k + 10]) for k in range(0, 102, 10))) for i, t in rows]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r["doc_id"]: r["text"] for r in paragraph_dedup.without_repeats(df).collect()}
+    assert out[1] == rows[0][1]
+    assert out[2].split() == ["Total:", "42."]
+
+
 def test_pipeline(spark, docs):
     """Each stage against its operator in plain Python, on its own input."""
     folder, now, seen = SMALL, docs, []
