@@ -14,9 +14,9 @@ that a pair at the threshold is found with a probability of 99.8 %.  Paragraphs
 band are checked by exact Jaccard similarity, and links form components.  Of every component the
 first occurrence (by document id, then place) stays, with what overlaps it; the others are removed.
 
-How it scales: of every ``min_words - 4`` shingles in a row the least by hash is an anchor, so any
-shared run of ``min_words`` words shares one.  Anchors are counted with partial sums, and only
-shingles near an anchor that repeats are spelled out, counted and joined.  A group that shares a band is not
+How it scales: of every twelve shingles in a row the least by hash is an anchor, so all windows of a
+shared run have the same anchors.  Anchors are counted with partial sums, and only stretches
+long enough for ``min_words`` words whose anchors all repeat are spelled out, counted and joined.  A group that shares a band is not
 spelled out in pairs: its members are compared inside a task, only across what is not yet
 connected, and a spanning forest is returned.  A group of more members than fit is dealt to
 all pairs of its parts, each of bounded size, so no pair is lost.
@@ -43,6 +43,7 @@ from tagledger.session import stage
 MIN_WORDS = 40
 SHINGLE = 5
 SIMILARITY = 0.8
+WINDOW = 12  # shingles of which one is an anchor
 BANDS = 12
 ROWS = 4
 PART = 1_000  # members of a band group that are compared in one go
@@ -95,19 +96,19 @@ def word_shingles(text: str) -> np.ndarray:
 
 
 def anchors(hashes: np.ndarray, window: int) -> np.ndarray:
-    """Places of the least hash of every window; equal windows have it at the same place."""
+    """Place of the least hash of every window; equal windows have it at the same place."""
     if len(hashes) < window:
         return np.empty(0, np.int64)
-    least = np.lib.stride_tricks.sliding_window_view(hashes, window).argmin(axis=1) + np.arange(len(hashes) - window + 1)
-    return distinct_values(least)
+    return np.lib.stride_tricks.sliding_window_view(hashes, window).argmin(axis=1) + np.arange(len(hashes) - window + 1)
 
 
-def near(places: np.ndarray, window: int, count: int) -> np.ndarray:
-    """Places among ``count`` that share a window with one of the places."""
-    edges = np.zeros(count + 1, np.int64)
-    np.add.at(edges, np.maximum(places - window + 1, 0), 1)
-    np.add.at(edges, np.minimum(places + window, count), -1)
-    return np.flatnonzero(np.cumsum(edges[:-1]))
+def near(chosen: np.ndarray, places: np.ndarray, window: int, least: int) -> np.ndarray:
+    """Places in stretches of ``least`` shingles or more whose windows all have one of the places as anchor."""
+    known = np.concatenate([[False], np.isin(chosen, places), [False]]).astype(np.int8)
+    first, last = np.flatnonzero(np.diff(known) == 1), np.flatnonzero(np.diff(known) == -1)
+    long = last - first + window - 1 >= least
+    parts = [np.arange(a, b + window - 1) for a, b in zip(first[long], last[long])]
+    return distinct_values(np.concatenate([np.empty(0, np.int64), *parts]))
 
 
 def distinct_values(values: np.ndarray) -> np.ndarray:
@@ -215,7 +216,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.withColumn("tie", F.xxhash64(F.coalesce("text", F.lit(""))))
 
 
-def _shingle_rows(near_too: bool, window: int):
+def _shingle_rows(near_too: bool, window: int, least: int):
     """Rows of the anchors of each text, or of all shingles near the anchors in column ``places``."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,11 +233,12 @@ def _shingle_rows(near_too: bool, window: int):
                 text = text.as_py() or ""
                 hashes = word_shingles(text)
                 if near_too:
-                    places = near(batch.column("places")[n].values.to_numpy(zero_copy_only=False), window, len(hashes))
+                    known = batch.column("places")[n].values.to_numpy(zero_copy_only=False)
+                    places = near(anchors(hashes, window), known, window, least)
                     starts = np.array([*(m.start() for m in _WORD.finditer(text)), len(text)], np.int32)
                     part = [places.astype(np.int32), hashes[places], starts[places], starts[places + SHINGLE]]
                 else:
-                    places = anchors(hashes, window)
+                    places = distinct_values(anchors(hashes, window))
                     part = [places.astype(np.int32), hashes[places]]
                 rows.append(np.full(len(places), n, np.int32))
                 parts.append(part)
@@ -282,17 +284,18 @@ def units(docs: DataFrame, min_words: int) -> DataFrame:
     """Occurrences of paragraphs: (doc_id, tie, kind, start, stop, words, digest, bands, elements)."""
     kind = dict(docs.dtypes)["doc_id"]
     keyed = _keyed(docs.select("doc_id", "text"))
-    window = max(1, min_words - SHINGLE + 1)
+    least = max(1, min_words - SHINGLE + 1)
+    window = min(WINDOW, least)
 
     def repeated(found: DataFrame, name: str) -> DataFrame:
         counts = found.groupBy(F.col("shingle").alias("_shingle")).agg(F.count("*").alias("count")).filter("count > 1")
         return found.join(stage(counts, name), F.col("shingle") == F.col("_shingle"))
 
-    marked = repeated(keyed.mapInArrow(_shingle_rows(False, window), _ANCHORS.format(kind=kind)), "anchors")
+    marked = repeated(keyed.mapInArrow(_shingle_rows(False, window, least), _ANCHORS.format(kind=kind)), "anchors")
     marked = marked.groupBy(F.col("doc_id").alias("_id"), F.col("tie").alias("_tie")).agg(F.collect_set("at").alias("places"))
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("tie") == F.col("_tie"))
     held = keyed.join(stage(marked, "marked"), same).select("doc_id", "tie", "text", "places")
-    close = stage(held.mapInArrow(_shingle_rows(True, window), _NEAR.format(kind=kind)), "near-anchors")
+    close = stage(held.mapInArrow(_shingle_rows(True, window, least), _NEAR.format(kind=kind)), "near-anchors")
     each = F.struct("at", "start", "stop", "shingle", F.col("count"))
     # One row per document.  Copies of a row give each shingle once.
     per_doc = repeated(close, "shingles").groupBy("doc_id", "tie").agg(F.array_sort(F.collect_set(each)).alias("found"))
