@@ -14,6 +14,7 @@ from tagledger.llm.mixing import mixing_report, mixing_sql
 from tagledger.llm.paragraph_dedup import passage_report
 from tagledger.llm.quality import quality_report
 from tagledger.llm.simhash import simhash_report
+from tagledger.llm.spelling import spelling_report, spelling_sql
 from tagledger.llm.tables import table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -31,6 +32,7 @@ QUERIES = {
         table(spark, folder, "documents"), table(spark, folder, "labels")
     ),
     "op10_passages": lambda spark, folder: passage_report(table(spark, folder, "documents")),
+    "op11_spelling": lambda spark, folder: spelling_report(table(spark, folder, "documents")),
 }
 
-ORACLES = {"op2_licenses": license_sql(), "op3_mixing": mixing_sql()}
+ORACLES = {"op2_licenses": license_sql(), "op3_mixing": mixing_sql(), "op11_spelling": spelling_sql()}
