@@ -12,7 +12,9 @@ from tagledger.llm.langid import language_report
 from tagledger.llm.licenses import license_report, license_sql
 from tagledger.llm.mixing import mixing_report, mixing_sql
 from tagledger.llm.paragraph_dedup import passage_report
+from tagledger.llm.pii import pii_report
 from tagledger.llm.quality import quality_report
+from tagledger.llm.resampling import resampling_report, resampling_sql
 from tagledger.llm.simhash import simhash_report
 from tagledger.llm.spelling import spelling_report, spelling_sql
 from tagledger.llm.tables import table
@@ -33,6 +35,15 @@ QUERIES = {
     ),
     "op10_passages": lambda spark, folder: passage_report(table(spark, folder, "documents")),
     "op11_spelling": lambda spark, folder: spelling_report(table(spark, folder, "documents")),
+    "op12_resampling": lambda spark, folder: resampling_report(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    ),
+    "op13_pii": lambda spark, folder: pii_report(table(spark, folder, "documents")),
 }
 
-ORACLES = {"op2_licenses": license_sql(), "op3_mixing": mixing_sql(), "op11_spelling": spelling_sql()}
+ORACLES = {
+    "op2_licenses": license_sql(),
+    "op3_mixing": mixing_sql(),
+    "op11_spelling": spelling_sql(),
+    "op12_resampling": resampling_sql(),
+}
