@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tagledger.session import stage
+
 # Largest table sent to every executor, in rows and in bytes of their text form.
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 << 20
@@ -12,37 +14,43 @@ BROADCAST_BYTES = 64 << 20
 # A key above this many rows is spread over several tasks.
 HOT_ROWS = 10_000_000
 
-# The frequency sketch keeps this many counters, at most about a megabyte: every
-# key with more than about 1/9000 of all rows is certain to be in it.
-SKETCH_ITEMS = 20_000
-SKETCH_GROUPS = 64
+# Rows are counted by this many hash ranges of their keys first.
+RANGES = 1 << 16
 
 
-def heavy_values(df: DataFrame, exprs: dict[str, Column], min_rows: int = HOT_ROWS) -> dict[str, list]:
-    """For each expression, its values with at least ``min_rows`` rows and a large share of them.
+def heavy_tables(
+    df: DataFrame, exprs: dict[str, Column], min_rows: int = HOT_ROWS, ranges: int = RANGES
+) -> dict[str, DataFrame]:
+    """For each expression a stored table of its values that have at least ``min_rows`` rows: (value, n).
 
-    One pass over the columns the expressions read.  Each task keeps a sketch of
-    fixed size; sketches are merged in groups and then once more, so no task sees
-    the values themselves.  The sketch never misses a value above its error bound;
-    a value below it is less than one fair task and needs no special care.
+    Exact at any size, in two passes over the columns the expressions read.  Rows are counted by hash range of
+    the value, at most ``ranges`` sums per task; a value cannot have more rows than its range.  Values
+    themselves are counted only in the ranges that reach ``min_rows``, with partial sums, so
+    a value with much of the table is one row per task.  A table holds at most (rows / ``min_rows``) values.
     """
-    group = F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("_group")
-    narrow = df.select(*[e.alias(n) for n, e in exprs.items()], group)
-    sketches = narrow.groupBy("_group").agg(
-        *[F.expr(f"approx_top_k_accumulate(`{n}`, {SKETCH_ITEMS})").alias(n) for n in exprs]
-    )
-    # Grouped by one value, not ungrouped: an ungrouped merge fails on a partition without sketches.
-    merged = sketches.groupBy((F.col("_group") * 0).alias("_all")).agg(
-        *[F.expr(f"approx_top_k_combine(`{n}`, {SKETCH_ITEMS})").alias(n) for n in exprs]
-    )
-    # One row of all values the sketch still holds, so at most SKETCH_ITEMS per expression.
-    row = merged.select(*[F.expr(f"approx_top_k_estimate(`{n}`, {SKETCH_ITEMS})").alias(n) for n in exprs]).first()
-    if row is None:
-        return {n: [] for n in exprs}
-    return {
-        n: [hit["item"] for hit in row[n] if hit["count"] >= min_rows and hit["item"] is not None]
-        for n in exprs
-    }
+    narrow = df.select(*[e.alias(n) for n, e in exprs.items()])
+    at = {n: F.pmod(F.xxhash64(F.col(f"`{n}`")), F.lit(ranges)).cast("int") for n in exprs}
+    pairs = F.array(*[F.struct(F.lit(n).alias("name"), at[n].alias("range")) for n in exprs])
+    counted = narrow.select(F.inline(pairs)).groupBy("name", "range").agg(F.count("*").alias("n"))
+    full = counted.filter(F.col("n") >= min_rows).groupBy("name").agg(F.collect_list("range").alias("found"))
+    # At most ``ranges`` small numbers per expression.
+    found = {r["name"]: r["found"] for r in full.collect()}
+    out = {}
+    for n in exprs:
+        values = narrow.select(F.col(f"`{n}`").alias("value"), at[n].alias("_range")).filter("value is not null")
+        marks = df.sparkSession.createDataFrame([(r,) for r in found.get(n, [])], "_mark int")
+        if n in found:
+            inside = values.join(F.broadcast(marks), F.col("_range") == F.col("_mark"), "left_semi")
+        else:
+            inside = values.filter(F.lit(False))
+        sums = inside.groupBy("value").agg(F.count("*").alias("n"))
+        out[n] = stage(sums.filter(F.col("n") >= min_rows), "heavy") if n in found else sums
+    return out
+
+
+def heavy_values(df: DataFrame, exprs: dict[str, Column], min_rows: int = HOT_ROWS) -> dict[str, list]:
+    """The values of ``heavy_tables`` as lists, for tables that are known to be small."""
+    return {n: [r["value"] for r in t.collect()] for n, t in heavy_tables(df, exprs, min_rows).items()}
 
 
 def heavy_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS) -> list:

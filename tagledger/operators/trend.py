@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tagledger.operators.heavy import HOT_ROWS, heavy_keys
+from tagledger.operators.heavy import HOT_ROWS, heavy_tables, lookup_join
 from tagledger.operators.ordering import POSITION, RUN, sorted_runs
 
 
@@ -17,27 +17,32 @@ def previous_value(
     order: Sequence[Column],
     value: str,
     name: str,
-    hot: list | None = None,
+    hot: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
     spread_copies: bool = True,
+    buckets: int | None = None,
 ) -> DataFrame:
     """``lag(value) over (partition by key order by …)``.
 
-    Rows of ordinary keys take one shuffle on the key.  Keys with more than
-    ``hot_rows`` rows are sorted over many tasks instead; a caller that has
-    already looked for them passes them as ``hot``.
+    Rows of ordinary keys take one shuffle on the key, into ``buckets`` partitions if that is given.  Keys
+    with ``hot_rows`` rows or more are sorted over many tasks instead; a caller that has
+    already counted them passes them as ``hot``, a table with a column ``value``.
     """
     if hot is None:
-        hot = heavy_keys(df, key, hot_rows)
-    if not hot:
-        return _by_window(df, key, order, value, name)
-    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
-    cool = _by_window(df.filter(~is_hot), key, order, value, name)
-    return cool.unionByName(_by_runs(df.filter(is_hot), key, order, value, name, spread_copies))
+        hot = heavy_tables(df, {key: F.col(key)}, hot_rows)[key]
+    if hot.isEmpty():
+        return _by_window(df, key, order, value, name, buckets)
+    hot = hot.select(F.col("value").alias("_hot"))
+    same = F.col(key) == F.col("_hot")
+    cool = _by_window(lookup_join(df, hot, same, "left_anti"), key, order, value, name, buckets)
+    return cool.unionByName(_by_runs(lookup_join(df, hot, same, "left_semi"), key, order, value, name, spread_copies))
 
 
-def _by_window(df: DataFrame, key: str, order: Sequence[Column], value: str, name: str) -> DataFrame:
-    return df.withColumn(name, F.lag(value).over(Window.partitionBy(key).orderBy(*order)))
+def _by_window(
+    df: DataFrame, key: str, order: Sequence[Column], value: str, name: str, buckets: int | None = None
+) -> DataFrame:
+    placed = df.repartition(buckets, key) if buckets else df
+    return placed.withColumn(name, F.lag(value).over(Window.partitionBy(key).orderBy(*order)))
 
 
 def _by_runs(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagledger.operators.conform import cast_types, derive, fill_and_key, is_valid, valid_rows
@@ -27,8 +27,8 @@ def build_silver(bronze: DataFrame, slot: Slot) -> DataFrame:
 def counted_silver(bronze: DataFrame, slot: Slot) -> DataFrame:
     """Silver rows with the number of bronze rows behind each, plus one row for all invalid ones.
 
-    The counts are part of the rows, so they can be read in the stage that
-    writes them: a stage that runs again after a lost executor does not count twice.
+    The counts are part of the rows: added up from a stored copy, they are the same after a lost
+    executor, and for slots where no row is valid.
     """
     flagged = fill_and_key(cast_types(bronze)).withColumn(VALID, is_valid())
     blank = [F.when(F.col(VALID), F.col(c)).alias(c) for c in (*KEYS, *CARRIED)]
@@ -52,6 +52,6 @@ def silver_metrics(bronze: DataFrame, slot: Slot) -> DataFrame:
     return counted_silver(bronze, slot).agg(*metric_columns())
 
 
-def observed_silver(bronze: DataFrame, slot: Slot, counts: Observation) -> DataFrame:
-    """``build_silver`` with its counts taken while it is written."""
-    return counted_silver(bronze, slot).observe(counts, *metric_columns()).filter(VALID).select(*SILVER_COLUMNS)
+def loadable(counted: DataFrame) -> DataFrame:
+    """The silver rows among counted ones."""
+    return counted.filter(VALID).select(*SILVER_COLUMNS)

@@ -5,16 +5,17 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from datetime import date
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from tagledger.operators.checks import STAR_CHECKS, run_checks
-from tagledger.plans.silver import observed_silver
+from tagledger.plans.silver import counted_silver, loadable, metric_columns
 from tagledger.plans.star import refresh_star
 from tagledger.schemas import SILVER, SLOT_PARTITIONS, Slot
-from tagledger.session import pin_session, scratch_scope, shuffles_sized_for
-from tagledger.sinks.silver import Registration, register_partitions, replace_slot
+from tagledger.session import pin_session, scratch_scope, shuffles_sized_for, stage
+from tagledger.sinks.silver import Registration, off_slot_rows, settle_load, switch_partitions, write_load
 from tagledger.sources.bronze import read_bronze, slot_exists, slot_glob
-from tagledger.sources.silver import read_silver, read_silver_slot, staging
+from tagledger.sources.loads import load_partitions
+from tagledger.sources.silver import read_silver, staging
 from tagledger.sources.spine import SPINE_DAYS, SPINE_START
 
 
@@ -55,20 +56,24 @@ def create_silver_table(spark: SparkSession, table: str, root: str) -> None:
 
 
 def load_slot(spark: SparkSession, paths: Paths, slot: Slot, layout: str = "auto") -> SlotReport:
-    """Raw files of the slot into silver, in one pass; an empty slot changes nothing."""
+    """Raw files of the slot into silver; an empty slot changes nothing.
+
+    The deduplicated rows are stored once with their counts; the counts of the run and the load are
+    both made from that copy.
+    """
     pin_session(spark)
     report = SlotReport(slot, loaded=slot_exists(spark, paths.bronze, paths.source, slot))
     if not report.loaded:
         return report
-    bronze = read_bronze(spark, paths.bronze, paths.source, slot, layout)
-    counts = Observation()
-    silver = observed_silver(bronze, slot, counts)
-    with shuffles_sized_for(spark, slot_glob(paths.bronze, paths.source, slot)):
-        report.off_slot_rows = replace_slot(silver, paths.silver, slot)
-    report.metrics = dict(counts.get)
+    with scratch_scope(spark), shuffles_sized_for(spark, slot_glob(paths.bronze, paths.source, slot)):
+        counted = stage(counted_silver(read_bronze(spark, paths.bronze, paths.source, slot, layout), slot), "counted")
+        report.metrics = counted.agg(*metric_columns()).first().asDict()
+        load = write_load(loadable(counted), paths.silver, slot)
+    report.off_slot_rows = off_slot_rows(spark, paths.silver, load, slot)
+    # Readers of paths see the load from here on; readers of the table with each partition's switch.
     create_silver_table(spark, paths.silver_table, paths.silver)
-    written = read_silver_slot(spark, paths.silver, slot)
-    report.partitions = register_partitions(spark, paths.silver_table, written)
+    report.partitions = switch_partitions(spark, paths.silver_table, load_partitions(spark, paths.silver, load))
+    settle_load(spark, paths.silver, load, slot)
     return report
 
 

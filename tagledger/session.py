@@ -34,6 +34,39 @@ def any_file(spark: SparkSession, folders: str) -> bool:
     return any(f.isFile() or fs.listStatusIterator(f.getPath()).hasNext() for f in found)
 
 
+def glob_names(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a pattern; none if there is no such folder."""
+    path, fs = _hadoop_path(spark, pattern)
+    return [f.getPath().toString() for f in fs.globStatus(path) or ()]
+
+
+def first_bytes(spark: SparkSession, name: str, size: int) -> bytes:
+    """At most ``size`` bytes from the beginning of a file."""
+    path, fs = _hadoop_path(spark, name)
+    stream = fs.open(path)
+    try:
+        return bytes(stream.readNBytes(size))
+    finally:
+        stream.close()
+
+
+def delete_folder(spark: SparkSession, name: str) -> None:
+    """Delete a folder of this library's own; nothing happens if it is not there."""
+    path, fs = _hadoop_path(spark, name)
+    fs.delete(path, True)
+
+
+def create_marker(spark: SparkSession, name: str) -> None:
+    """Create an empty file."""
+    path, fs = _hadoop_path(spark, name)
+    fs.create(path, True).close()
+
+
+def table_bytes(df: DataFrame) -> int:
+    """Size of the files behind ``df`` as the planner knows it, after pruning; no file is opened."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 @contextmanager
 def shuffles_sized_for(spark: SparkSession, pattern: str) -> Iterator[int]:
     """Raise the shuffle partition count to what the files under the path pattern need.
@@ -99,5 +132,4 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
     finally:
         _scope.reset(token)
         for name in paths:
-            path, fs = _hadoop_path(spark, name)
-            fs.delete(path, True)
+            delete_folder(spark, name)

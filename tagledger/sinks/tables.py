@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tagledger.session import IN_MEMORY_GROWTH, PARTITION_BYTES, table_bytes
+
 
 def materialize_table(df: DataFrame, name: str) -> DataFrame:
     """Full refresh: the result replaces the table."""
@@ -33,11 +35,21 @@ def keyed_layout(df: DataFrame, key: str, sort: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", key).sortWithinPartitions(*[F.col(c).asc_nulls_last() for c in sort])
 
 
-def materialize_bucketed(df: DataFrame, name: str, key: str, buckets: int, sort: Sequence[str]) -> DataFrame:
+def bucket_count(df: DataFrame, least: int | None = None) -> int:
+    """Buckets for a table made of the files of ``df``: a power of two, so that tables of all sizes fit each other."""
+    wanted = table_bytes(df) * IN_MEMORY_GROWTH // PARTITION_BYTES
+    least = least or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return 1 << max(0, max(wanted, least) - 1).bit_length()
+
+
+def materialize_bucketed(
+    df: DataFrame, name: str, key: str, buckets: int, sort: Sequence[str], placed: bool = False
+) -> DataFrame:
     """Full refresh into buckets of ``key``, so joins and windows on it need no shuffle.
 
+    ``placed``: the rows are already distributed by ``key`` over as many partitions, and stay where they are.
     A bucket is read by one task; for a table with a hot key ``keyed_layout`` is the layout to choose.
     """
-    placed = df.repartition(buckets, key)
-    placed.write.mode("overwrite").bucketBy(buckets, key).sortBy(*sort).saveAsTable(name)
+    rows = df if placed else df.repartition(buckets, key)
+    rows.write.mode("overwrite").bucketBy(buckets, key).sortBy(*sort).saveAsTable(name)
     return df.sparkSession.table(name)

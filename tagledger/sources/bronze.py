@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+from multiprocessing.pool import ThreadPool
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagledger.schemas import BRONZE, Slot
-from tagledger.session import any_file
+from tagledger.schemas import BRONZE, BRONZE_COLUMNS, Slot
+from tagledger.session import any_file, first_bytes, glob_names
+from tagledger.sources.objects import json_objects
+
+HEAD_BYTES = 1 << 14  # of each file, to see its form
+HEADS_AT_ONCE = 16
 
 
 def slot_folders(root: str, source: str, slot: Slot) -> str:
@@ -22,22 +28,29 @@ def slot_exists(spark: SparkSession, root: str, source: str, slot: Slot) -> bool
     return any_file(spark, slot_folders(root, source, slot))
 
 
-def _array_files(spark: SparkSession, pattern: str) -> tuple[list[str], int]:
-    """Files whose JSON goes over several lines, and the number of all files that hold anything.
+def _is_lines(head: bytes) -> bool:
+    """Is the first line that is not blank a whole object or array?"""
+    text = head.decode("utf-8", "replace").lstrip("\ufeff \t\r\n")
+    line, end, _ = text.partition("\n")
+    line = line.rstrip()
+    if not end and len(head) == HEAD_BYTES:
+        return False
+    return not line or line[0] + line[-1] in ("{}", "[]")
 
-    Tells the form by a file's first line that is not blank: a whole object or array, or
-    the beginning of one.  One short text per file, as in the file listing itself.
-    """
-    line = F.trim(F.regexp_replace("value", r"^\x{FEFF}|\s+", " "))
-    lines = spark.read.text(pattern).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at"),
-        line.alias("line"),
-    )
-    whole = F.col("line").rlike(r"^(\{.*\}|\[.*\])$")
-    heads = lines.filter("line <> ''").groupBy("file").agg(F.min_by(whole, "at").alias("whole"))
-    forms = heads.collect()
-    return sorted(r["file"] for r in forms if not r["whole"]), len(forms)
+
+def file_forms(spark: SparkSession, pattern: str) -> tuple[list[str], list[str]]:
+    """Files with an object or array per line, and all others, by the first bytes of each."""
+    names = [n for n in glob_names(spark, pattern) if not n.rsplit("/", 1)[-1].startswith(("_", "."))]
+    with ThreadPool(HEADS_AT_ONCE) as pool:
+        flags = pool.map(lambda name: _is_lines(first_bytes(spark, name, HEAD_BYTES)), names)
+    lines = [n for n, flag in zip(names, flags) if flag]
+    return lines, [n for n, flag in zip(names, flags) if not flag]
+
+
+def read_objects(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """Bronze columns of all JSON objects of files of any form; files are split over tasks."""
+    parsed = json_objects(spark, paths).select(F.from_json("text", BRONZE).alias("_row"))
+    return parsed.select(*[F.col(f"_row.{c}").alias(c) for c in BRONZE_COLUMNS])
 
 
 def read_bronze(
@@ -49,21 +62,22 @@ def read_bronze(
 ) -> DataFrame:
     """All files of one slot, all categories, as text columns; no rows for an empty slot.
 
-    ``layout='auto'`` finds the form of every file, so both are read whole.
-    ``layout='array'``: each file is one JSON array over many lines, read by one
-    task.  ``layout='lines'``: one object (or one array) per line, as
-    ``write_bronze`` writes it; large files are split over tasks.
+    ``layout='auto'`` finds the form of every file from its first bytes, and reads it once.
+    ``layout='lines'``: one object (or one array) per line, as ``write_bronze`` writes it.
+    ``layout='array'``: arrays over many lines, or any other form.  Large files are split
+    over tasks in every form.
     """
     if layout not in ("auto", "array", "lines"):
         raise ValueError(f"unknown layout: {layout!r}")
     if not slot_exists(spark, root, source, slot):
         return spark.createDataFrame([], BRONZE)
     pattern = slot_glob(root, source, slot)
-    read = spark.read.schema(BRONZE)
-    if layout != "auto":
-        return read.json(pattern, multiLine=layout == "array")
-    arrays, files = _array_files(spark, pattern)
-    if not arrays or len(arrays) == files:
-        return read.json(pattern, multiLine=bool(arrays))
-    is_array = F.col("_metadata.file_path").isin(arrays)
-    return read.json(pattern).filter(~is_array).unionByName(read.json(pattern, multiLine=True).filter(is_array))
+    if layout == "lines":
+        return spark.read.schema(BRONZE).json(pattern)
+    if layout == "array":
+        return read_objects(spark, pattern)
+    lines, others = file_forms(spark, pattern)
+    if not others:
+        return spark.read.schema(BRONZE).json(pattern)
+    objects = read_objects(spark, others)
+    return spark.read.schema(BRONZE).json(lines).unionByName(objects) if lines else objects

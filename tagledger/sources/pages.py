@@ -52,17 +52,26 @@ def extract_cards(
     rules: CardRules,
     html: str = "html",
     keep: Sequence[str] = (),
+    marker: str | None = None,
 ) -> DataFrame:
     """One row per card that has a name tag: ``keep``, name, url and the texts of its fields.
 
     A page without cards gives no rows.  A card inside another card counts as the
-    next card; the outer one ends where it begins.
+    next card; the outer one ends where it begins.  ``marker`` names a column that is true for one more row
+    per page, without fields, so that pages can be counted where their cards are.
     """
-    segments = (
-        pages.select(*keep, drop_hidden(F.col(html)).alias("_html"))
-        .select(*keep, F.explode(split_at_starts(F.col("_html"), rules.card)).alias("_segment"))
-        .filter(starts_with_tag(F.col("_segment"), rules.card))
-    )
+    clean = pages.select(*keep, drop_hidden(F.col(html)).alias("_html"))
+    pieces = split_at_starts(F.col("_html"), rules.card)
+    if marker is None:
+        segments = clean.select(*keep, F.explode(pieces).alias("_segment"))
+        segments = segments.filter(starts_with_tag(F.col("_segment"), rules.card))
+    else:
+        # What is before the first card stands for the page.
+        segments = clean.select(*keep, F.posexplode_outer(pieces).alias("_nth", "_segment"))
+        page = F.coalesce(F.col("_nth") == 0, F.lit(True))
+        segments = segments.select(*keep, page.alias(marker), F.when(~page, F.col("_segment")).alias("_segment"))
+        segments = segments.filter(F.col(marker) | starts_with_tag(F.col("_segment"), rules.card))
+        keep = [*keep, marker]
     # Each step is a projection of its own: a column used twice is computed once.
     cut = segments.select(*keep, cut_at_tags(F.col("_segment"), rules.card.tag).alias("_pieces"))
     cards = cut.select(*keep, first_element(F.col("_pieces")).alias("_card"))
@@ -86,13 +95,14 @@ def extract_cards(
     cards_found = decoded.select(
         "*", resolve_url(rules.base_url, F.col("_href")).alias("product_url")
     )
-    return _only(cards_found, lambda card: card["_named"]).select(
+    return _only(cards_found, lambda card: card["_named"] if marker is None else card["_named"] | card[marker]).select(
         *keep, "product_name", "product_url", "price_text", "discount_text", "rating_text"
     )
 
 
-def card_records(cards: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """Parse the texts of cards and drop those without a name or a price."""
+def card_records(cards: DataFrame, keep: Sequence[str] = (), marker: str | None = None) -> DataFrame:
+    """Parse the texts of cards and drop those without a name or a price; rows of pages (``marker``) stay."""
+    keep = [*keep, marker] if marker else keep
     parsed = cards.select(
         *keep,
         "product_name",
@@ -103,7 +113,8 @@ def card_records(cards: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     )
 
     def complete(card: Column) -> Column:
-        return (F.length(card["product_name"]) > 0) & (F.coalesce(card["current_price"], F.lit(0.0)) != 0)
+        full = (F.length(card["product_name"]) > 0) & (F.coalesce(card["current_price"], F.lit(0.0)) != 0)
+        return full if marker is None else full | card[marker]
 
     return _only(parsed, complete).select(
         *keep,

@@ -310,6 +310,32 @@ paged as (select *, row_number() over (partition by category order by page_id) a
 ends as (select category, min(page_num) as first_empty from paged where n_records = 0 and page_num <= {PAGE_LIMIT} group by 1)
 select page_id, paged.category, page_num, n_records from paged left join ends on paged.category = ends.category
 where page_num <= {PAGE_LIMIT} and (first_empty is null or page_num < first_empty)""",
+    "page_cut_both": """
+with numbered as (
+  select page_id, regexp_extract(html, '<html lang="([a-z]+)"', 1) || '-' || (page_id % 12) as category,
+         greatest(cast((length(html) - length(replace(html, '<li>', ''))) / 4 as bigint) - 5, 0) as n_records from pages),
+paged as (select *, row_number() over (partition by category order by page_id) as page_num from numbered),
+ends as (select category, min(page_num) as first_empty from paged where n_records = 0 and page_num <= 4 group by 1)
+select page_id, paged.category, page_num, n_records from paged left join ends on paged.category = ends.category
+where page_num <= 4 and (first_empty is null or page_num < first_empty)""",
+    "listing_pages_parsed": _with(CUT) + """
+select per_page.category, page_num, cast(n as bigint) as n_records
+from per_page left join ends on per_page.category = ends.category
+where first_empty is null or page_num <= first_empty""",
+    "listing_damaged": _with(PARTS) + f"""
+, cards as (
+  select l_orderkey || '-' || l_partkey as category, l_linenumber as page_num, {_iso('l_shipdate')} as scraped_at,
+         l_linenumber % 7 as kind, pct, p_name,
+         case l_linenumber % 7 when 1 then 'NaN'::double when 2 then 1e17::double else price end as price
+  from items where l_linenumber % 7 not in (3, 6))
+select category, page_num, scraped_at,
+       case kind when 5 then 'Ü«&bogus;' || chr(65533) || '&amp; ' || p_name else p_name end as product_name,
+       case kind when 0 then '' when 4 then '{SHOP}/p' when 5 then '{SHOP}/p?a&b' else 'https://o/p' end as product_url,
+       price as current_price,
+       case when pct > 0 then case when kind in (1, 2) then price / (1 - pct / 100.0::double)
+            else floor(price / (1 - pct / 100.0::double) * 100 + 0.5) / 100 end end as mrp,
+       case when pct > 0 then pct end as discount_pct, cast(null as double) as rating
+from cards""",
     "listing_records": _with(LISTING) + "select * from records",
     "listing_bronze": _with(CUT) + "select * exclude (page_num), 'shop' as source from kept",
     "check_unique": """
@@ -353,6 +379,15 @@ select {_SLOT_ROWS}, (select count(*) from silver) as deduped_rows,
        (select count(*) from bronze where ({VALID}) is not true) as invalid_rows,
        (select count(*) from bronze) as raw_rows, (select count(*) from bronze where {VALID}) as valid_rows,
        (select count(*) from silver where run_date is distinct from date '2024-01-01') as off_slot_rows
+from silver""",
+    "slot_load_invalid": _with(EVENTS, DEDUPED) + f"""
+select {_SLOT_ROWS}, cast(0 as bigint) as deduped_rows, n as invalid_rows, n as raw_rows, cast(0 as bigint) as valid_rows,
+       cast(0 as bigint) as off_slot_rows
+from silver, (select count(*) as n from events where event_type in ('signup', 'error'))""",
+    "slot_switch": _with(EVENTS, DEDUPED) + f"""
+select {_SLOT_ROWS}, (select count(*) from silver) as deduped_rows, cast(0 as bigint) as invalid_rows,
+       (select count(*) from bronze) as raw_rows, (select count(*) from bronze) as valid_rows,
+       (select count(*) from silver where run_date is distinct from date '2024-01-01') as off_slot_rows
 from silver""",
     "register_partitions": _with(EVENTS, DEDUPED) + """
 select category, date '2024-01-01' as run_date, run_hour, count(*) as n_rows from silver group by all""",
@@ -378,3 +413,4 @@ select category, date '2024-01-01' as run_date, run_hour, count(*) as n_rows fro
         DEDUPED,
     ) + f"select {_SILVER} from silver",
 }
+ORACLES["bronze_forms"] = ORACLES["bronze_roundtrip"]

@@ -18,10 +18,10 @@ from tagledger.operators.dedupe import keep_one
 from tagledger.operators.heavy import HOT_ROWS
 from tagledger.operators.ordering import global_row_number, grouped_row_number
 from tagledger.operators.trend import previous_value
-from tagledger.plans.pages import land_pages, pages_to_bronze
+from tagledger.plans.pages import land_pages, pages_to_bronze, read_listings
 from tagledger.plans.silver import build_silver, silver_metrics
 from tagledger.plans.slot import Paths, create_silver_table, load_slot, run_slot
-from tagledger.schemas import FACT_COLUMNS, SILVER_COLUMNS, Slot
+from tagledger.schemas import BRONZE_COLUMNS, FACT_COLUMNS, SILVER_COLUMNS, Slot
 from tagledger.session import pin_session, scratch_root, stage
 from tagledger.sinks import tables
 from tagledger.sinks.bronze import write_bronze
@@ -33,6 +33,7 @@ from tagledger.sources.spine import number_spine
 from tagledger.suite.views import (
     SHOP,
     SHOP_RULES,
+    damaged_pages,
     events_bronze,
     events_dirty,
     lineitem_bronze,
@@ -322,6 +323,32 @@ def page_cut(spark, sf_dir):
     return cut_pages(numbered, PAGE_LIMIT).select("page_id", "category", "page_num", "n_records")
 
 
+@query
+def page_cut_both(spark, sf_dir):
+    """Many short listings: the limit of pages cuts some, the first page with at most five items others."""
+    items = F.size(split_at_starts(drop_hidden(F.col("html")), LINK_CARD)) - 1
+    pages = table(spark, sf_dir, "pages").select(
+        "page_id",
+        F.concat_ws("-", F.regexp_extract("html", '<html lang="([a-z]+)"', 1), (F.col("page_id") % 12).cast("string")).alias("category"),
+        F.greatest(items - 5, F.lit(0)).cast("bigint").alias("n_records"),
+    )
+    numbered = grouped_row_number(pages, "category", [F.col("page_id").asc()], "page_num")
+    return cut_pages(numbered, 4).select("page_id", "category", "page_num", "n_records")
+
+
+@query
+def listing_pages_parsed(spark, sf_dir):
+    """The pages that were parsed at all: none behind a page without records, none over the limit."""
+    return read_listings(listing_pages(spark, sf_dir), SHOP_RULES, max_pages=4).pages
+
+
+@query
+def listing_damaged(spark, sf_dir):
+    """Cards with parts missing, open or odd, a kind per line number."""
+    keep = ["category", "page_num", "scraped_at"]
+    return card_records(extract_cards(damaged_pages(spark, sf_dir), SHOP_RULES, keep=keep), keep=keep)
+
+
 @query
 def listing_records(spark, sf_dir):
     keep = ["category", "page_num", "scraped_at"]
@@ -395,7 +422,33 @@ def check_report(spark, sf_dir):
 def bronze_roundtrip(spark, sf_dir):
     root = _folder(spark, "bronze")
     slot = write_bronze(events_dirty(spark, sf_dir), root, SLOT)
-    return read_bronze(spark, root, "events", slot, layout="lines")
+    return read_bronze(spark, root, "events", slot)
+
+
+def _write_arrays(rows: DataFrame, root: str, slot: Slot, pretty: bool) -> None:
+    """The collectors' form: arrays of objects, here one per category and minute."""
+    options = {"ignoreNullFields": "false", "pretty": "true" if pretty else "false"}
+    body = F.to_json(F.struct(*BRONZE_COLUMNS), options)
+    minute = F.substring(F.coalesce("scraped_at", F.lit("")), 1, 16)
+    listed = rows.groupBy("source", "category", minute.alias("minute")).agg(F.collect_list(body).alias("all"))
+    comma, ends = (",\n", ("[\n", "\n]")) if pretty else (", ", ("[", "]"))
+    value = F.concat(F.lit(ends[0]), F.array_join("all", comma), F.lit(ends[1])).alias("value")
+    day = slot.run_date
+    folders = {"year": str(day.year), "month": f"{day.month:02d}", "day": f"{day.day:02d}", "hour": slot.run_hour}
+    placed = listed.select(value, "source", "category", *[F.lit(v).alias(n) for n, v in folders.items()])
+    placed.write.mode("append").partitionBy("source", "category", *folders).text(root)
+
+
+@query
+def bronze_forms(spark, sf_dir):
+    """Pretty arrays, arrays per line and objects per line in one slot, read without being told which is which."""
+    root = _folder(spark, "bronze")
+    rows = events_dirty(spark, sf_dir)
+    pretty, dense = F.col("category").isin("click", "view"), F.col("category") == "error"
+    _write_arrays(rows.filter(pretty), root, SLOT, True)
+    _write_arrays(rows.filter(dense), root, SLOT, False)
+    write_bronze(rows.filter(~pretty & ~dense), root, SLOT)
+    return read_bronze(spark, root, "events", SLOT)
 
 
 @query
@@ -412,12 +465,40 @@ def slot_load(spark, sf_dir):
     """Raw files to silver with the counts of the run beside the rows."""
     paths = Paths(_folder(spark, "bronze"), _folder(spark, "silver"), "events", _database(spark, "load"))
     write_bronze(events_dirty(spark, sf_dir), paths.bronze, SLOT)
-    report = load_slot(spark, paths, SLOT, layout="lines")
+    report = load_slot(spark, paths, SLOT)
     counts = [F.lit(report.metrics[n]).cast("bigint").alias(n) for n in sorted(report.metrics)]
     off_slot = F.lit(report.off_slot_rows).cast("bigint").alias("off_slot_rows")
     return read_silver(spark, paths.silver).select("*", *counts, off_slot)
 
 
+def _with_counts(df: DataFrame, report) -> DataFrame:
+    counts = {**report.metrics, "off_slot_rows": report.off_slot_rows}
+    return df.select("*", *[F.lit(n).cast("bigint").alias(c) for c, n in sorted(counts.items())])
+
+
+@query
+def slot_load_invalid(spark, sf_dir):
+    """A slot where no row is valid, after a good one: nothing is lost, and its rows are counted."""
+    paths = Paths(_folder(spark, "bronze"), _folder(spark, "silver"), "events", _database(spark, "load"))
+    write_bronze(events_bronze(spark, sf_dir), paths.bronze, SLOT)
+    load_slot(spark, paths, SLOT)
+    write_bronze(events_dirty(spark, sf_dir).filter("category in ('signup', 'error')"), paths.bronze, LATER)
+    return _with_counts(read_silver(spark, paths.silver), load_slot(spark, paths, LATER))
+
+
+@query
+def slot_switch(spark, sf_dir):
+    """A slot loaded from half of its files and again from all: what readers of the catalog table see."""
+    paths = Paths(_folder(spark, "bronze"), _folder(spark, "silver"), "events", _database(spark, "switch"))
+    rows = events_bronze(spark, sf_dir)
+    early = F.substring("scraped_at", 12, 2) < "12"
+    write_bronze(rows.filter(early), paths.bronze, SLOT)
+    load_slot(spark, paths, SLOT)
+    write_bronze(rows.filter(~early), paths.bronze, SLOT)
+    report = load_slot(spark, paths, SLOT)
+    return _with_counts(spark.table(paths.silver_table).select(*SILVER_COLUMNS), report)
+
+
 @query
 def q_register_partitions(spark, sf_dir):
     """Rows per partition, read through the catalog table."""
@@ -452,9 +533,9 @@ def slot_run_fact(spark, sf_dir):
     early = F.substring("scraped_at", 12, 2) < "12"
     write_bronze(rows.filter(early), paths.bronze, SLOT)
     write_bronze(rows.filter(~early), paths.bronze, LATER)
-    load_slot(spark, paths, SLOT, layout="lines")
-    load_slot(spark, paths, LATER, layout="lines")
-    report = run_slot(spark, paths, LATER, layout="lines", start=CALENDAR[0] - timedelta(days=10), days=40)
+    load_slot(spark, paths, SLOT)
+    load_slot(spark, paths, LATER)
+    report = run_slot(spark, paths, LATER, start=CALENDAR[0] - timedelta(days=10), days=40)
     return report.tables["fact_price_snapshots"].select(*FACT_COLUMNS)
 
 
@@ -464,4 +545,4 @@ def pages_to_silver(spark, sf_dir):
     root = _folder(spark, "bronze")
     pages = listing_pages(spark, sf_dir).withColumns({"listing": F.col("category"), "category": F.lit("parts")})
     slot = land_pages(pages, SHOP_RULES, "shop", root, SLOT, max_pages=4, listing=["listing"])
-    return build_silver(read_bronze(spark, root, "shop", slot, layout="lines"), slot)
+    return build_silver(read_bronze(spark, root, "shop", slot), slot)

@@ -127,4 +127,35 @@ def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def damaged_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A card per lineitem row, damaged in one of seven ways by its line number.
+
+    0: no link; 1: a price that is no number to pay; 2: a price too large for cents; 3: no name tag;
+    4: nothing is closed; 5: references, known, unknown and bad; 6: a price in words.
+    """
+    kind = F.col("l_linenumber") % 7
+    name = (
+        F.when(kind == 0, F.concat(F.lit("<a class='name'>"), "p_name", F.lit("</a>")))
+        .when(kind == 3, F.lit("<b>no name</b>"))
+        .when(kind == 4, F.concat(F.lit("<a class=name href='/p'>"), "p_name", F.lit("</a>")))
+        .when(kind == 5, F.concat(F.lit("<a class='name' href='/p?a&amp;b'>&Uuml;&laquo;&bogus;&#xD800;&amp;amp; "), "p_name", F.lit("</a>")))
+        .otherwise(F.concat(F.lit("<a class='name' href='https://o/p'>"), "p_name", F.lit("</a>")))
+    )
+    price = (
+        F.when(kind == 1, F.lit("NaN"))
+        .when(kind == 2, F.lit("₹1,00,000,000,000,000,000.00"))
+        .when(kind == 6, F.lit("soon"))
+        .otherwise(F.format_number("price", 2))
+    )
+    discount = F.when(F.col("pct") > 0, F.format_string("<span class='sm-pdrop'>%d%%</span>", "pct")).otherwise("")
+    closed = F.when(kind == 4, F.lit("")).otherwise(F.lit("</span></div></body></html>"))
+    card = F.concat(F.lit("<html><body><div class='sm-product'>"), name, discount, F.lit("<span class='price'>"), price, closed)
+    return lineitem_parts(spark, sf_dir).select(
+        F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_partkey").cast("string")).alias("category"),
+        F.col("l_linenumber").alias("page_num"),
+        _iso(F.col("l_shipdate")).alias("scraped_at"),
+        card.alias("html"),
+    )
+
+
 SHOP_RULES = CardRules(base_url=SHOP)
