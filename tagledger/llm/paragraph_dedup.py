@@ -5,10 +5,13 @@ Two kinds of paragraphs are compared, each with its own kind:
 * lines, as sets of five-word shingles;
 * runs of words whose five-word shingles all occur more than once, as sets of these shingles.
   They find passages that stand inside longer lines, wherever their lines or sentences break.
-  The shingles over the seam of two passages are rarer than those within, so for every count in
-  a run the parts that occur at least so often are runs of their own: a passage is found next to
-  other repeated text, and also if a part of it is more frequent.
+  The shingles over the seam of two passages are rarer than those within, so the parts of a run
+  that occur at least so often are runs of their own, as far as they are not similar to the part around them: a
+  passage is found next to other repeated text, and also if a part of it is more frequent.
 
+A run that comes back to its own beginning is cut at the returns, so text repeated inside one document is found as well.
+
+Texts that are equal in full are compared once: later copies of at least ``min_words`` words are occurrences of the whole text.
 Equal paragraphs are one node.  Distinct ones get MinHash signatures cut into bands, tuned so
 that a pair at the threshold is found with a probability of 99.8 %.  Paragraphs that share a
 band are checked by exact Jaccard similarity, and links form components.  Of every component the
@@ -16,7 +19,8 @@ first occurrence (by document id, then place) stays, with what overlaps it; the
 
 How it scales: of every twelve shingles in a row the least by hash is an anchor, so all windows of a
 shared run have the same anchors.  Anchors are counted with partial sums, and only stretches
-long enough for ``min_words`` words whose anchors all repeat are spelled out, counted and joined.  A group that shares a band is not
+long enough for ``min_words`` words whose anchors all repeat are spelled out, counted and joined, as short flat rows that
+come back sorted by document and place and are read as a stream.  A group that shares a band is not
 spelled out in pairs: its members are compared inside a task, only across what is not yet
 connected, and a spanning forest is returned.  A group of more members than fit is dealt to
 all pairs of its parts, each of bounded size, so no pair is lost.
@@ -33,11 +37,13 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagledger.llm.components import components
+from tagledger.operators.heavy import fits_broadcast, lookup_join
 from tagledger.session import stage
 
 MIN_WORDS = 40
@@ -60,11 +66,8 @@ LINE, RUN = 0, 1
 _ANCHORS = "doc_id {kind}, tie bigint, at int, shingle bigint"
 _NEAR = _ANCHORS + ", start int, stop int"
 _ROWS_OUT = 65_536  # rows of a batch of shingles, and the text they end in
-_UNIT = pa.struct(
-    [("kind", pa.int32()), ("start", pa.int32()), ("stop", pa.int32()), ("words", pa.int32()), ("digest", pa.int64()),
-     ("bands", pa.list_(pa.int64())), ("elements", pa.list_(pa.int32()))]
-)
-_UNIT_SQL = "array<struct<kind:int,start:int,stop:int,words:int,digest:bigint,bands:array<bigint>,elements:array<int>>>"
+_HELD = 400_000  # elements of units that are sent on at once
+_UNIT_SQL = "kind int, start int, stop int, words int, digest bigint, bands array<bigint>, elements array<int>"
 
 
 def _signed(value: int) -> int:
@@ -182,40 +185,119 @@ def line_units(text: str | None, min_words: int) -> list[dict]:
     return out
 
 
-def levels(counts: list[int]) -> list[tuple[int, int]]:
-    """(first, behind last) of all longest parts whose counts are at least some number."""
-    out, held = [], []
-    for i, count in enumerate([*counts, 0]):
-        first = i
+def levels(counts: np.ndarray, least: int, similarity: float) -> list[tuple[int, int]]:
+    """(first, behind last) of longest parts whose counts are at least some number.
+
+    Parts shorter than ``least`` are left out, and so are those that are similar to a part around them that
+    is listed: what is similar to such a part is similar to the one around it.  So the sizes of nested
+    parts fall by a factor, and all parts together are linear in the run, up to a logarithm.
+    """
+    edges = np.flatnonzero(np.diff(counts)) + 1
+    firsts = [0, *edges.tolist()]
+    found, held = [], []
+    for first, count in zip([*firsts, len(counts)], [*counts[firsts].tolist(), 0]):
+        begin = first
         while held and held[-1][1] > count:
-            first = held.pop()[0]
-            out.append((first, i))
+            begin = held.pop()[0]
+            if first - begin >= least:
+                found.append((begin, first))
         if not held or held[-1][1] < count:
-            held.append((first, count))
+            held.append((begin, count))
+    out, around = [], []
+    for first, last in sorted(found, key=lambda p: (p[0], -p[1])):
+        while around and around[-1][1] <= first:
+            around.pop()
+        if not around or last - first < similarity * (around[-1][1] - around[-1][0]):
+            out.append((first, last))
+            around.append((first, last))
     return out
 
 
-def run_units(found: list[dict], min_words: int) -> list[dict]:
-    """Runs among the repeated shingles of a document, in order of place."""
-    out, run = [], []
-    for one in [*found, None]:
-        if run and (one is None or one["at"] != run[-1]["at"] + 1):
-            hashes = np.array([s["shingle"] for s in run], np.int64).view(np.uint64)
-            elements = (hashes >> np.uint64(32)).astype(np.uint32)
-            for first, last in levels([s["count"] for s in run]):
-                words = last - first + SHINGLE - 1
-                if words >= min_words:
-                    own = distinct_values(elements[first:last])
-                    out.append(unit(RUN, run[first]["start"], run[last - 1]["stop"], words, own))
-            run = []
-        run.append(one)
-    return out
+def returns(hashes: np.ndarray, least: int) -> list[tuple[int, int]]:
+    """Parts of a run that comes back to its beginning, each from one return to the next; else the run."""
+    order = np.argsort(hashes, kind="stable")
+    ordered = hashes[order]
+    if not (ordered[1:] == ordered[:-1]).any():
+        return [(0, len(hashes))]
+    parts, first = [], 0
+    while first + least < len(hashes):
+        same = order[np.searchsorted(ordered, hashes[first], "left") : np.searchsorted(ordered, hashes[first], "right")]
+        later = np.searchsorted(same, first + least)
+        if later == len(same):
+            break
+        parts.append((first, int(same[later])))
+        first = parts[-1][1]
+    if not parts or len(hashes) - first >= least:
+        parts.append((first, len(hashes)))
+    return parts
+
+
+def run_units(hashes: np.ndarray, starts: np.ndarray, stops: np.ndarray, counts: np.ndarray, least: int, similarity: float) -> Iterator[dict]:
+    """Units of one run of shingles that repeat."""
+    elements = (hashes.view(np.uint64) >> np.uint64(32)).astype(np.uint32)
+    for low, high in levels(counts, least, similarity):
+        for first, last in returns(hashes[low:high], least):
+            first, last = low + first, low + last
+            own = distinct_values(elements[first:last])
+            yield unit(RUN, int(starts[first]), int(stops[last - 1]), last - first + SHINGLE - 1, own)
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
     return docs.withColumn("tie", F.xxhash64(F.coalesce("text", F.lit(""))))
 
 
+def _text_key() -> Column:
+    """Equal for equal texts only, as far as a digest of 256 bits can say."""
+    return F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)
+
+
+def copied_texts(docs: DataFrame) -> DataFrame:
+    """Texts of more than one row: (text_key, first), first the least document that has the text."""
+    order = F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id")
+    grouped = docs.select("doc_id", _text_key().alias("_key")).groupBy("_key")
+    many = grouped.agg(F.min(order).alias("_first"), F.count("*").alias("_n")).filter("_n > 1")
+    return stage(many.select("_key", F.col("_first.doc_id").alias("_first")), "copied-texts")
+
+
+def distinct_texts(docs: DataFrame, copied: DataFrame) -> DataFrame:
+    """(doc_id, tie, text), one row per text, that of its first document.
+
+    Only texts that occur more than once are brought together, one row of each per task.
+    """
+    keyed = _keyed(docs).withColumn("_own", _text_key())
+    small = fits_broadcast(copied)
+    several = F.broadcast(copied) if small else copied
+    single = keyed.join(several, F.col("_own") == F.col("_key"), "left_anti").select("doc_id", "tie", "text")
+    merged = keyed.join(several, F.col("_own") == F.col("_key")).groupBy("_own")
+    merged = merged.agg(F.first("_first").alias("doc_id"), F.first("tie").alias("tie"), F.first("text").alias("text"))
+    # Without a broadcast the texts are shuffled, which is done once only.
+    merged = stage(merged.select("doc_id", "tie", "text"), "copied-once")
+    out = single.unionByName(merged)
+    return out if small else stage(out, "texts")
+
+
+def copies(docs: DataFrame, copied: DataFrame, min_words: int) -> DataFrame:
+    """Whole texts that occur in several documents, as occurrences like those of passages."""
+    keyed = _keyed(docs).withColumn("_own", _text_key())
+    found = lookup_join(keyed, copied, F.col("_own") == F.col("_key"), "inner")
+    words = F.size(F.regexp_extract_all("text", F.lit(r"(\S+)"), F.lit(1)))
+    kept = F.col("doc_id").eqNullSafe(F.col("_first"))
+    rows = found.select(
+        "doc_id",
+        "tie",
+        F.lit(0).alias("start"),
+        F.length("text").cast("int").alias("stop"),
+        words.alias("n_words"),
+        F.col("_first").alias("kept_doc_id"),
+        F.xxhash64("_key").alias("component_id"),
+        kept.alias("kept"),
+    )
+    rows = rows.filter(F.col("n_words") >= min_words).distinct()
+    # Rows equal in id and text are one document and no copies.
+    twice = rows.filter("not kept").select(F.col("component_id").alias("_repeated")).distinct()
+    return lookup_join(rows, twice, F.col("component_id") == F.col("_repeated"), "left_semi")
+
+
 def _shingle_rows(near_too: bool, window: int, least: int):
     """Rows of the anchors of each text, or of all shingles near the anchors in column ``places``."""
 
@@ -252,9 +334,8 @@ def _shingle_rows(near_too: bool, window: int, least: int):
     return scan
 
 
-def _unit_array(lists: list[list[dict]]) -> pa.Array:
-    """Lists of units as one Arrow array, built column by column.  Equal units are hashed once."""
-    flat = [u for own in lists for u in own]
+def _unit_batch(ids: pa.Array, ties: pa.Array, flat: list[dict]) -> pa.RecordBatch:
+    """Units as a batch, built column by column.  Equal units are hashed once."""
     place = {u["digest"]: n for n, u in enumerate(flat)}
     known = bands([flat[n]["elements"] for n in place.values()], [flat[n]["kind"] for n in place.values()])
     row = {digest: n for n, digest in enumerate(place)}
@@ -264,44 +345,88 @@ def _unit_array(lists: list[list[dict]]) -> pa.Array:
     def nested(sizes: list[int], values: np.ndarray) -> pa.Array:
         return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes]).astype(np.int32)), pa.array(values))
 
-    columns = [pa.array([u[n] for u in flat], pa.int32()) for n in ("kind", "start", "stop", "words")]
+    columns = [ids, ties, *[pa.array([u[n] for u in flat], pa.int32()) for n in ("kind", "start", "stop", "words")]]
     columns += [pa.array([u["digest"] for u in flat], pa.int64()), nested([BANDS] * len(flat), hashed)]
     columns.append(nested([len(u["elements"]) for u in flat], elements))
-    ends = np.cumsum([0, *map(len, lists)]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(columns, fields=list(_UNIT)))
+    return pa.record_batch(columns, names=["doc_id", "tie", "kind", "start", "stop", "words", "digest", "bands", "elements"])
+
+
+def _batches_of_units(batch: pa.RecordBatch, made: Iterator[tuple[int, dict]]) -> Iterator[pa.RecordBatch]:
+    """Batches of bounded size of (row of the batch, unit)."""
+    rows, flat, size = [], [], 0
+    for row, one in made:
+        rows.append(row)
+        flat.append(one)
+        size += len(one["elements"])
+        if size > _HELD:
+            take = pa.array(rows)
+            yield _unit_batch(batch.column("doc_id").take(take), batch.column("tie").take(take), flat)
+            rows, flat, size = [], [], 0
+    if rows:
+        take = pa.array(rows)
+        yield _unit_batch(batch.column("doc_id").take(take), batch.column("tie").take(take), flat)
+
+
+def _line_rows(min_words: int):
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("text")
+            made = ((n, one) for n in range(len(texts)) for one in line_units(texts[n].as_py(), min_words))
+            yield from _batches_of_units(batch, made)
+
+    return scan
+
+
+def _run_rows(min_words: int, similarity: float):
+    """Units of shingles (doc_id, tie, at, shingle, start, stop, count) that come by document and place."""
+    least = max(1, min_words - SHINGLE + 1)
 
+    def made(batch: pa.RecordBatch, edges: np.ndarray) -> Iterator[tuple[int, dict]]:
+        hashes, starts, stops, counts = (batch.column(c).to_numpy() for c in ("shingle", "start", "stop", "count"))
+        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+            if b - a >= least:
+                for one in run_units(hashes[a:b], starts[a:b], stops[a:b], counts[a:b], least, similarity):
+                    yield a, one
 
-def _unit_column(source: Column, build, min_words: int) -> Column:
-    @F.arrow_udf(_UNIT_SQL)
-    def scan(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.RecordBatch | None = None
         for batch in batches:
-            yield _unit_array([build(v, min_words) for v in batch.to_pylist()])
+            held = batch if held is None else pa.concat_batches([held, batch])
+            at, tie, ids = held.column("at").to_numpy(), held.column("tie").to_numpy(), held.column("doc_id")
+            other = pc.fill_null(pc.not_equal(ids[1:], ids[:-1]), False).to_numpy(zero_copy_only=False)
+            known = ids.is_valid().to_numpy(zero_copy_only=False)
+            fresh = other | (known[1:] != known[:-1]) | (tie[1:] != tie[:-1]) | (at[1:] != at[:-1] + 1)
+            edges = np.concatenate([[0], np.flatnonzero(fresh) + 1])
+            # The last run may go on in the next batch.
+            yield from _batches_of_units(held, made(held, edges))
+            held = held.slice(int(edges[-1]))
+        if held is not None and held.num_rows:
+            yield from _batches_of_units(held, made(held, np.array([0, held.num_rows])))
 
-    return scan(source)
+    return scan
 
 
-def units(docs: DataFrame, min_words: int) -> DataFrame:
-    """Occurrences of paragraphs: (doc_id, tie, kind, start, stop, words, digest, bands, elements)."""
+def units(docs: DataFrame, min_words: int, similarity: float = SIMILARITY) -> DataFrame:
+    """Occurrences of paragraphs of distinct texts: (doc_id, tie, kind, start, stop, words, digest, bands, elements)."""
     kind = dict(docs.dtypes)["doc_id"]
-    keyed = _keyed(docs.select("doc_id", "text"))
     least = max(1, min_words - SHINGLE + 1)
     window = min(WINDOW, least)
+    shape = f"doc_id {kind}, tie bigint, {_UNIT_SQL}"
 
     def repeated(found: DataFrame, name: str) -> DataFrame:
         counts = found.groupBy(F.col("shingle").alias("_shingle")).agg(F.count("*").alias("count")).filter("count > 1")
-        return found.join(stage(counts, name), F.col("shingle") == F.col("_shingle"))
+        return found.join(stage(counts, name), F.col("shingle") == F.col("_shingle")).drop("_shingle")
 
-    marked = repeated(keyed.mapInArrow(_shingle_rows(False, window, least), _ANCHORS.format(kind=kind)), "anchors")
-    marked = marked.groupBy(F.col("doc_id").alias("_id"), F.col("tie").alias("_tie")).agg(F.collect_set("at").alias("places"))
+    chosen = stage(docs.mapInArrow(_shingle_rows(False, window, least), _ANCHORS.format(kind=kind)), "anchor-rows")
+    marked = repeated(chosen, "anchors").groupBy(F.col("doc_id").alias("_id"), F.col("tie").alias("_tie"))
+    marked = marked.agg(F.collect_set("at").alias("places"))
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("tie") == F.col("_tie"))
-    held = keyed.join(stage(marked, "marked"), same).select("doc_id", "tie", "text", "places")
+    held = docs.join(stage(marked, "marked"), same).select("doc_id", "tie", "text", "places")
     close = stage(held.mapInArrow(_shingle_rows(True, window, least), _NEAR.format(kind=kind)), "near-anchors")
-    each = F.struct("at", "start", "stop", "shingle", F.col("count"))
-    # One row per document.  Copies of a row give each shingle once.
-    per_doc = repeated(close, "shingles").groupBy("doc_id", "tie").agg(F.array_sort(F.collect_set(each)).alias("found"))
-    runs = per_doc.select("doc_id", "tie", _unit_column(F.col("found"), run_units, min_words).alias("units"))
-    lines = keyed.select("doc_id", "tie", _unit_column(F.col("text"), line_units, min_words).alias("units"))
-    return runs.unionByName(lines).select("doc_id", "tie", F.inline("units"))
+    placed = repeated(close, "shingles").repartition("doc_id", "tie").sortWithinPartitions("doc_id", "tie", "at")
+    placed = placed.select("doc_id", "tie", "at", "shingle", "start", "stop", F.col("count").cast("int").alias("count"))
+    runs = placed.mapInArrow(_run_rows(min_words, similarity), shape)
+    return runs.unionByName(docs.mapInArrow(_line_rows(min_words), shape))
 
 
 def jaccard(a: np.ndarray, b: np.ndarray) -> float:
@@ -382,7 +507,8 @@ def repeated_passages(
     ``kept_doc_id`` is the document of the occurrence that stays.
     """
     docs = df.select(F.col(f"`{id_}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    found = stage(units(docs, min_words), "passages")
+    copied = copied_texts(docs)
+    found = stage(units(distinct_texts(docs, copied), min_words, similarity), "passages")
     places = found.select("doc_id", "tie", "start", "stop", "words", "digest").distinct()
     distinct = found.groupBy("digest").agg(F.first("bands").alias("bands"), F.first("elements").alias("elements"))
     roots = components(similar(stage(distinct, "passages-distinct"), similarity))
@@ -398,7 +524,7 @@ def repeated_passages(
     kept = here & (F.col("start") < F.col("first.stop")) & (F.col("stop") > F.col("first.start"))
     listed = stage(listed.withColumn("kept", kept), "passages-listed")
     twice = listed.filter("not kept").select(F.col("component_id").alias("_repeated")).distinct()
-    return listed.join(twice, F.col("component_id") == F.col("_repeated"), "left_semi").select(
+    passages = listed.join(twice, F.col("component_id") == F.col("_repeated"), "left_semi").select(
         "doc_id",
         "tie",
         "start",
@@ -408,6 +534,7 @@ def repeated_passages(
         "component_id",
         "kept",
     )
+    return passages.unionByName(copies(docs, copied, min_words))
 
 
 def cut(text: Column, spans: Column) -> Column:
