@@ -122,6 +122,19 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(*staged: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more, and let go of the shuffle files of finished jobs.
+
+    What was made from them must be staged itself.  Spark deletes shuffle files once their plans are
+    collected on the driver, which without a call can take until long after the job.
+    """
+    for df in staged:
+        for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+            delete_folder(df.sparkSession, folder)
+    if staged:
+        staged[0].sparkSession._jvm.System.gc()
+
+
 @contextmanager
 def scratch_scope(spark: SparkSession) -> Iterator[None]:
     """Remove at the end what was staged inside; results must be stored by then."""
