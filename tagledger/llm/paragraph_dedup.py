@@ -17,7 +17,7 @@ that a pair at the threshold is found with a probability of 99.8 %.  Paragraphs
 band are checked by exact Jaccard similarity, and links form components.  Of every component the
 first occurrence (by document id, then place) stays, with what overlaps it; the others are removed.
 
-How it scales: of every twelve shingles in a row the least by hash is an anchor, so all windows of a
+How it scales: of every ``WINDOW`` shingles in a row the least by hash is an anchor, so all windows of a
 shared run have the same anchors.  Anchors are counted with partial sums, and only stretches
 long enough for ``min_words`` words whose anchors all repeat are spelled out, counted and joined, as short flat rows that
 come back sorted by document and place and are read as a stream.  A group that shares a band is not
@@ -44,12 +44,12 @@ from pyspark.sql import functions as F
 
 from tagledger.llm.components import components
 from tagledger.operators.heavy import fits_broadcast, lookup_join
-from tagledger.session import stage
+from tagledger.session import release, stage
 
 MIN_WORDS = 40
 SHINGLE = 5
 SIMILARITY = 0.8
-WINDOW = 12  # shingles of which one is an anchor
+WINDOW = 20  # shingles of which one is an anchor
 BANDS = 12
 ROWS = 4
 PART = 1_000  # members of a band group that are compared in one go
@@ -242,8 +242,14 @@ def run_units(hashes: np.ndarray, starts: np.ndarray, stops: np.ndarray, counts:
             yield unit(RUN, int(starts[first]), int(stops[last - 1]), last - first + SHINGLE - 1, own)
 
 
+def _tie() -> Column:
+    """Tells texts of one id apart: 32 bits, and 64 where there is no id."""
+    text = F.coalesce("text", F.lit(""))
+    return F.when(F.col("doc_id").isNull(), F.xxhash64(text)).otherwise(F.hash(text).cast("bigint"))
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("tie", F.xxhash64(F.coalesce("text", F.lit(""))))
+    return docs.withColumn("tie", _tie())
 
 
 def _text_key() -> Column:
@@ -413,20 +419,29 @@ def units(docs: DataFrame, min_words: int, similarity: float = SIMILARITY) -> Da
     window = min(WINDOW, least)
     shape = f"doc_id {kind}, tie bigint, {_UNIT_SQL}"
 
-    def repeated(found: DataFrame, name: str) -> DataFrame:
-        counts = found.groupBy(F.col("shingle").alias("_shingle")).agg(F.count("*").alias("count")).filter("count > 1")
-        return found.join(stage(counts, name), F.col("shingle") == F.col("_shingle")).drop("_shingle")
+    def repeated(found: DataFrame, counts: DataFrame) -> DataFrame:
+        return found.join(counts, F.col("shingle") == F.col("_shingle")).drop("_shingle")
+
+    def counted(found: DataFrame, name: str) -> DataFrame:
+        counts = found.groupBy(F.col("shingle").alias("_shingle")).agg(F.count("*").alias("count"))
+        return stage(counts.filter("count > 1"), name)
 
     chosen = stage(docs.mapInArrow(_shingle_rows(False, window, least), _ANCHORS.format(kind=kind)), "anchor-rows")
-    marked = repeated(chosen, "anchors").groupBy(F.col("doc_id").alias("_id"), F.col("tie").alias("_tie"))
-    marked = marked.agg(F.collect_set("at").alias("places"))
+    anchored = counted(chosen, "anchors")
+    marked = repeated(chosen, anchored).groupBy(F.col("doc_id").alias("_id"), F.col("tie").alias("_tie"))
+    marked = stage(marked.agg(F.collect_set("at").alias("places")), "marked")
+    release(chosen, anchored)
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("tie") == F.col("_tie"))
-    held = docs.join(stage(marked, "marked"), same).select("doc_id", "tie", "text", "places")
+    held = docs.join(marked, same).select("doc_id", "tie", "text", "places")
     close = stage(held.mapInArrow(_shingle_rows(True, window, least), _NEAR.format(kind=kind)), "near-anchors")
-    placed = repeated(close, "shingles").repartition("doc_id", "tie").sortWithinPartitions("doc_id", "tie", "at")
+    release(marked)
+    shared = counted(close, "shingles")
+    placed = repeated(close, shared).repartition("doc_id", "tie").sortWithinPartitions("doc_id", "tie", "at")
     placed = placed.select("doc_id", "tie", "at", "shingle", "start", "stop", F.col("count").cast("int").alias("count"))
     runs = placed.mapInArrow(_run_rows(min_words, similarity), shape)
-    return runs.unionByName(docs.mapInArrow(_line_rows(min_words), shape))
+    out = stage(runs.unionByName(docs.mapInArrow(_line_rows(min_words), shape)), "passages")
+    release(close, shared)
+    return out
 
 
 def jaccard(a: np.ndarray, b: np.ndarray) -> float:
@@ -479,8 +494,12 @@ def _group_links(similarity: float):
     return scan
 
 
-def similar(distinct: DataFrame, similarity: float, part: int = PART) -> DataFrame:
-    """(a, b): links between distinct paragraphs (digest, bands, elements)."""
+def similar(distinct: DataFrame, similarity: float, part: int = PART, elements: DataFrame | None = None) -> DataFrame:
+    """(a, b): links between distinct paragraphs (digest, bands, elements).
+
+    ``elements`` may come from a table (digest, elements) of its own, with repeated rows: only
+    those of paragraphs that share a band are looked up.
+    """
     dealt = distinct.select("digest", F.explode("bands").alias("band"))
     sizes = dealt.groupBy(F.col("band").alias("_band")).agg(F.count("*").alias("n")).filter("n > 1")
     crowded = dealt.join(stage(sizes, "bands"), F.col("band") == F.col("_band"))
@@ -492,7 +511,10 @@ def similar(distinct: DataFrame, similarity: float, part: int = PART) -> DataFra
     )
     groups = crowded.withColumn("_own", own).select(F.col("digest").alias("_digest"), "band", F.inline(others))
     groups = stage(groups, "band-groups")
-    full = groups.join(distinct.select("digest", "elements"), F.col("_digest") == F.col("digest"))
+    wanted = groups.select(F.col("_digest").alias("_wanted")).distinct()
+    known = (distinct if elements is None else elements).select("digest", "elements")
+    known = known.join(wanted, F.col("digest") == F.col("_wanted"), "left_semi").dropDuplicates(["digest"])
+    full = groups.join(known, F.col("_digest") == F.col("digest"))
     full = full.select("band", "low", "high", "digest", "elements")
     placed = full.repartition("band", "low", "high").sortWithinPartitions("band", "low", "high")
     return placed.mapInArrow(_group_links(similarity), "a bigint, b bigint").distinct()
@@ -508,10 +530,12 @@ def repeated_passages(
     """
     docs = df.select(F.col(f"`{id_}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     copied = copied_texts(docs)
-    found = stage(units(distinct_texts(docs, copied), min_words, similarity), "passages")
+    found = units(distinct_texts(docs, copied), min_words, similarity)
     places = found.select("doc_id", "tie", "start", "stop", "words", "digest").distinct()
-    distinct = found.groupBy("digest").agg(F.first("bands").alias("bands"), F.first("elements").alias("elements"))
-    roots = components(similar(stage(distinct, "passages-distinct"), similarity))
+    signed = stage(found.groupBy("digest").agg(F.first("bands").alias("bands")), "passages-signed")
+    links = stage(similar(signed, similarity, elements=found), "passages-links")
+    release(signed)
+    roots = components(links)
     roots = roots.select(F.col("node").alias("_node"), F.col("root").alias("_root"))
     placed = places.join(roots, F.col("digest") == F.col("_node"), "left")
     placed = stage(placed.withColumn("component_id", F.coalesce("_root", "digest")).drop("_node", "_root", "digest"), "passages-placed")
@@ -563,8 +587,7 @@ def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS, similarity: flo
     gone = found.groupBy(F.col("doc_id").alias("_id"), F.col("tie").alias("_tie")).agg(
         F.collect_set(F.struct("start", "stop")).alias("_gone")
     )
-    mine = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
-    joined = docs.withColumn("_mine", mine).join(
+    joined = docs.withColumn("_mine", _tie()).join(
         stage(gone, "passages-gone"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_mine") == F.col("_tie")), "left"
     )
     out = joined.withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(cut(F.col("text"), F.col("_gone"))))
