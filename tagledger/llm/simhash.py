@@ -211,27 +211,50 @@ def links(distinct: DataFrame, distance: int = BITS, group_rows: int = GROUP_ROW
     return found
 
 
-def near_duplicates(df: DataFrame, id_: str = "doc_id", text: str = "text", words: int = WORDS, distance: int = BITS) -> DataFrame:
-    """(id, bits, component_id) of every row."""
-    rows = df.select(F.col(f"`{id_}`").alias("doc_id"), fingerprints(F.col(f"`{text}`"), words).alias("bits"))
-    rows = stage(rows, "simhash")
+def _classes(rows: DataFrame, distance: int) -> DataFrame:
+    """(_bits, _root, component_id) of the distinct fingerprints of (doc_id, bits, …)."""
     nodes = stage(rows.groupBy("bits").agg(F.min("doc_id").alias("_first")), "simhash-nodes")
     roots = components(links(nodes, distance)).select(F.col("node").alias("_node"), F.col("root").alias("_root"))
     placed = nodes.join(roots, nodes.bits == F.col("_node"), "left")
     placed = stage(placed.select("bits", F.coalesce("_root", "bits").alias("_root"), "_first"), "simhash-roots")
     named = placed.groupBy(F.col("_root").alias("_top")).agg(F.min("_first").alias("component_id"))
-    by_bits = stage(
-        placed.join(named, F.col("_root") == F.col("_top")).select(F.col("bits").alias("_bits"), "component_id"),
-        "simhash-named",
-    )
-    return rows.join(by_bits, rows.bits == F.col("_bits")).select("doc_id", "bits", "component_id")
+    by_root = placed.join(named, F.col("_root") == F.col("_top"))
+    return stage(by_root.select(F.col("bits").alias("_bits"), "_root", "component_id"), "simhash-named")
+
+
+def near_duplicates(df: DataFrame, id_: str = "doc_id", text: str = "text", words: int = WORDS, distance: int = BITS) -> DataFrame:
+    """(id, bits, component_id) of every row."""
+    rows = df.select(F.col(f"`{id_}`").alias("doc_id"), fingerprints(F.col(f"`{text}`"), words).alias("bits"))
+    rows = stage(rows, "simhash")
+    return rows.join(_classes(rows, distance), F.col("bits") == F.col("_bits")).select("doc_id", "bits", "component_id")
 
 
 def without_near_duplicates(docs: DataFrame, words: int = WORDS, distance: int = BITS) -> DataFrame:
-    """Documents that are the first of their component, with all their columns."""
-    found = near_duplicates(docs, words=words, distance=distance)
-    gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, docs.doc_id == F.col("_gone"), "left_anti")
+    """One document of each component, with all its columns: the one of least id, then least hash of the text.
+
+    A document is an id and a text, so texts that share an id, or have none, are told apart; null ids come last.
+    Of rows equal in both the least in column order stays.
+    """
+    tie = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+    rows = stage(docs.select("doc_id", tie.alias("tie"), fingerprints(F.col("text"), words).alias("bits")), "simhash")
+    placed = rows.join(_classes(rows, distance), F.col("bits") == F.col("_bits")).select("doc_id", "tie", "_root")
+    placed = stage(placed.groupBy("doc_id", "tie", "_root").agg(F.count("*").alias("n")), "simhash-documents")
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "tie")
+    least = placed.groupBy(F.col("_root").alias("_top")).agg(F.min(order).alias("_kept"))
+    known = placed.join(least, F.col("_root") == F.col("_top"))
+    kept = F.col("doc_id").eqNullSafe(F.col("_kept.doc_id")) & (F.col("tie") == F.col("_kept.tie"))
+    pair = [F.col("doc_id").alias("_id"), F.col("tie").alias("_tie")]
+    gone = stage(known.filter(~kept).select(*pair), "simhash-gone")
+    several = stage(known.filter(kept & (F.col("n") > 1)).select(*pair), "simhash-several")
+    mine = docs.withColumn("_mine", tie)
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_mine") == F.col("_tie"))
+    out = mine.join(gone, same, "left_anti")
+    if not several.isEmpty():
+        rest = F.min(F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)])).alias("_row")
+        once = out.join(several, same, "left_semi").groupBy("doc_id", "_mine").agg(rest)
+        once = once.select(*[F.col(f"_row.c{i}").alias(c) for i, c in enumerate(docs.columns)], "_mine")
+        out = out.join(several, same, "left_anti").unionByName(once)
+    return out.drop("_mine")
 
 
 def simhash_report(docs: DataFrame) -> DataFrame:

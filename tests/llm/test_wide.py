@@ -144,6 +144,18 @@ def test_simhash_edges(spark):
     assert simhash.simhash_report(df.limit(0)).count() == 0
 
 
+def test_one_document_of_each_group_stays(spark):
+    """Ids that occur with several texts, rows without an id, and rows that repeat."""
+    x, y, z = ("a b c d e f", "q r s t u v w", "only one of its kind")
+    rows = [(1, x), (2, x), (2, y), (None, x), (None, x), (None, z), (None, z), (3, y), (7, ""), (5, None), (4, "ü"), (4, "ü")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"tie": F.lit(0), "bits": F.lit("b")})
+    out = simhash.without_near_duplicates(df)
+    assert out.columns == df.columns
+    assert sorted(map(str, ((r["doc_id"], r["text"]) for r in out.collect()))) == sorted(
+        map(str, [(1, x), (2, y), (None, z), (5, None), (4, "ü")])
+    )
+
+
 def test_vectors_against_all_pairs(spark):
     draw = np.random.default_rng(5)
     base = draw.standard_normal((40, 16))
@@ -155,9 +167,31 @@ def test_vectors_against_all_pairs(spark):
     want = union(range(len(unit)), np.argwhere(near).tolist())
     assert all(got[i]["component_id"] == r and got[i]["kept"] == (i == r) for i, r in want.items())
     assert [got[i]["n_links"] for i in range(len(unit))] == near.sum(axis=1).tolist()
-    # Small blocks and windows find fewer links, but none that is wrong.
-    few = embedding_dedup.near_duplicate_vectors(df, window=3, block=8).collect()
-    assert all(r["n_links"] <= near[r["vec_id"]].sum() for r in few)
+    # Groups larger than a window, and components in several parts, keep all their links.
+    few = embedding_dedup.near_duplicate_vectors(df, window=3, block=8, members=5).collect()
+    assert {r["vec_id"]: r["n_links"] for r in few} == dict(enumerate(near.sum(axis=1).tolist()))
+
+
+def test_links_of_a_large_group_and_of_pairs_at_the_threshold(spark):
+    draw = np.random.default_rng(9)
+    base, far = draw.standard_normal(32), draw.standard_normal((600, 32))
+    group = base + 0.16 * draw.standard_normal((700, 32))
+    # Each pair at a cosine of 0.952.
+    away = draw.standard_normal((600, 32))
+    away -= (away * far).sum(axis=1, keepdims=True) / (far * far).sum(axis=1, keepdims=True) * far
+    away *= np.linalg.norm(far, axis=1, keepdims=True) / np.linalg.norm(away, axis=1, keepdims=True)
+    vectors = np.concatenate([group, far, 0.952 * far + (1 - 0.952**2) ** 0.5 * away])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: r["n_links"] for r in embedding_dedup.near_duplicate_vectors(df, window=64, block=512).collect()}
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    near = ((unit @ unit.T >= 0.95) & ~np.eye(len(unit), dtype=bool)).sum(axis=1)
+    assert near[:700].min() > 64 and [got[i] for i in range(700)] == near[:700].tolist()
+    assert sum(got[i] for i in range(700, 1900)) >= 0.99 * near[700:].sum()
+
+
+def test_passes_follow_the_number_of_vectors():
+    few, many = (embedding_dedup.passes_for(n) for n in (10_000, 10**8))
+    assert 8 <= few <= 12 and 40 <= many <= 60 and embedding_dedup.passes_for(0) == 2
 
 
 def test_vector_edges(spark):
