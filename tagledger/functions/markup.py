@@ -96,7 +96,11 @@ def first_element(pieces: Column) -> Column:
 
     start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("taken"), F.lit(True).alias("open"))
     taken = F.aggregate(pieces, start, step, lambda acc: acc["taken"])
-    return F.array_join(F.slice(pieces, F.lit(1), taken), "")
+    counted = F.array_join(F.slice(pieces, F.lit(1), taken), "")
+    # Mostly nothing of the same name is inside: after what is before the first tag ('') and
+    # the element's start comes its end.
+    plain = (F.get(pieces, F.lit(0)) == "") & F.get(pieces, F.lit(2)).startswith("</") & ~F.get(pieces, F.lit(1)).startswith("</")
+    return F.when(plain, F.get(pieces, F.lit(1))).otherwise(counted)
 
 
 def inner_html(element: Column) -> Column:

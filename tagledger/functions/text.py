@@ -4,18 +4,17 @@ from __future__ import annotations
 
 import json
 from html.entities import html5
+from zlib import crc32
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Unicode white space, plus the four ASCII separators that also count as space.
-_SPACE = r"[\s\x1C-\x1F\x{85}\p{Z}]"
+# Unicode white space, plus the four ASCII separators that also count as space.
+SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 
 # The standard library's table of HTML's character references; names without a semicolon
 # are the ones that are also read without it.
-# Lookups go through the table in order, so the names that pages use most come first.
-_COMMON = ["amp;", "lt;", "gt;", "quot;", "nbsp;", "apos;", "copy;", "middot;", "ndash;", "mdash;"]
-REFERENCES = {name: html5[name] for name in _COMMON} | {n: text for n, text in html5.items() if n.endswith(";")}
+REFERENCES = {name: text for name, text in html5.items() if name.endswith(";")}
 LEGACY_REFERENCES = {name: text for name, text in html5.items() if not name.endswith(";")}
 REPLACEMENT = "\ufffd"
 
@@ -27,7 +26,7 @@ ANY_TAG = r"""</?[A-Za-z](?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
 
 def strip_text(text: Column) -> Column:
     """Drop white space of any kind from both ends."""
-    return F.regexp_replace(text, rf"^{_SPACE}+|{_SPACE}+\z", "")
+    return F.btrim(text, F.lit(SPACES))
 
 
 def trim_spaces(text: Column) -> Column:
@@ -61,21 +60,33 @@ _DECIMAL = r"^&#([0-9]+);?"
 _HEXADECIMAL = r"^&#[xX]([0-9A-Fa-f]+);?"
 
 
-def _table(names: dict[str, str]) -> Column:
-    """A constant map, written as one literal so that plans stay small."""
-    return F.from_json(F.lit(json.dumps(names)), "map<string,string>")
+# A lookup looks through one slice of the table, a few names, whatever the name.
+_SLICES = 512
+
+
+def _lookup(names: dict[str, str], name: Column) -> Column:
+    """The text of a name, null if there is none; the table is one literal, so that plans stay small."""
+    slices: list[dict[str, str]] = [{} for _ in range(_SLICES)]
+    for key, text in names.items():
+        slices[crc32(key.encode()) % _SLICES][key] = text
+    table = F.from_json(F.lit(json.dumps(slices)), "array<map<string,string>>")
+    return F.try_element_at(F.get(table, F.crc32(name.cast("binary")) % _SLICES), name)
 
 
 def _decode_piece(piece: Column) -> Column:
     """One piece of text that holds at most one reference, at its start."""
     closed, legacy, dec, hexa = (F.regexp_extract(piece, p, 1) for p in (_CLOSED, _LEGACY, _DECIMAL, _HEXADECIMAL))
-    named = F.when(closed != "", F.try_element_at(_table(REFERENCES), closed))
+    named = _lookup(REFERENCES, closed)
+    numbered = (
+        F.when(dec != "", F.concat(_code_point(dec, 10), F.regexp_replace(piece, _DECIMAL, "")))
+        .when(hexa != "", F.concat(_code_point(hexa, 16), F.regexp_replace(piece, _HEXADECIMAL, "")))
+        .otherwise(piece)
+    )
     return (
         F.when(~piece.startswith("&"), piece)
-        .when(named.isNotNull(), F.concat(named, F.regexp_replace(piece, _CLOSED, "")))
-        .when(legacy != "", F.concat(F.try_element_at(_table(LEGACY_REFERENCES), legacy), F.regexp_replace(piece, _LEGACY, "")))
-        .when(dec != "", F.concat(_code_point(dec, 10), F.regexp_replace(piece, _DECIMAL, "")))
-        .when(hexa != "", F.concat(_code_point(hexa, 16), F.regexp_replace(piece, _HEXADECIMAL, "")))
+        .when(piece.startswith("&#"), numbered)
+        .when(named.isNotNull(), F.concat(named, F.substr(piece, F.length(closed) + 2)))
+        .when(legacy != "", F.concat(_lookup(LEGACY_REFERENCES, legacy), F.substr(piece, F.length(legacy) + 2)))
         .otherwise(piece)
     )
 
@@ -94,4 +105,6 @@ def drop_hidden(html: Column) -> Column:
 def element_text(inner: Column) -> Column:
     """Visible text: every text piece between tags is stripped, then joined."""
     pieces = F.split(F.regexp_replace(inner, ANY_TAG, MARK), MARK)
-    return F.array_join(F.transform(pieces, lambda p: strip_text(decode_references(p))), "")
+    joined = F.array_join(F.transform(pieces, lambda p: strip_text(decode_references(p))), "")
+    # Most fields have no tags inside.
+    return F.when(inner.contains("<"), joined).otherwise(strip_text(decode_references(inner)))
