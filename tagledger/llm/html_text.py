@@ -9,18 +9,22 @@ by itself, in linear time: no shuffle.
 * Blocks stand on lines of their own; paragraphs, headings, lists, tables and quotes have a blank
   line around them.  White space is collapsed, but kept inside ``pre`` and ``textarea``.
 * Items get ``- `` or their number, and what belongs to them is indented.
-* Cells of a table's column start at the same place; columns wider than ``WIDEST`` are not
-  filled up.  A cell over several columns or rows keeps the others in their place.
+* Cells of a table's column start at the same place.  What is wider than ``WIDEST`` ends its line, and the
+  cells behind it go on in the next one at their own place.  A cell over several columns or rows
+  keeps the others in theirs.  Columns that would begin more than ``FARTHEST`` characters from the left follow
+  each other in their line.
 
 Null and empty pages give an empty text.  An unclosed comment or script ends with the page; a
-``<`` that begins no tag is text.  Elements nested deeper than ``DEEPEST`` are kept as
-siblings, so their text is still there.
+``<`` that begins no tag is text.  Elements nested deeper than ``DEEPEST`` are open and closed like others, but
+what they show stands in the element at that depth, on lines of its own where they are blocks; what is
+hidden stays hidden at any depth.  Repeated rows are kept; other columns pass through.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -29,6 +33,7 @@ from pyspark.sql import functions as F
 
 WIDEST = 60
 DEEPEST = 150
+FARTHEST = 2_000
 GAP = "  "
 
 # HTML's own element groups.
@@ -100,19 +105,34 @@ def parse(page: str) -> Element:
     """The tree of a page."""
     root = Element("html")
     stack = [root]
+    opened = Counter()  # open elements by name
+
+    def cut(depth: int):
+        """Close what is open from this depth on."""
+        for own in stack[depth:]:
+            opened[own.tag] -= 1
+        if depth < DEEPEST < len(stack) and any(e.tag in BLOCK for e in stack[DEEPEST:]):
+            stack[DEEPEST - 1].children.append(Element("div"))
+        elif depth >= DEEPEST and any(e.tag in BLOCK for e in stack[depth:]):
+            stack[depth - 1].children.append(Element("div"))
+        del stack[depth:]
 
     def close(names: set[str], stop: set[str]):
         """Close open elements of these names, and what is open inside them."""
+        if not any(opened[name] for name in names):
+            return
         for depth in range(len(stack) - 1, 0, -1):
             if stack[depth].tag in stop:
                 return
             if stack[depth].tag in names:
-                del stack[depth:]
+                cut(depth)
+                if not any(opened[name] for name in names):
+                    return
 
     def add_text(text: str):
         if text:
             if stack[-1].tag == "head" and text.strip():
-                stack.pop()
+                cut(len(stack) - 1)
             stack[-1].children.append(text)
 
     def start(tag: str, attributes: str) -> Element:
@@ -122,15 +142,22 @@ def parse(page: str) -> Element:
             close({"p"}, SCOPE)
         top = stack[-1].tag
         if top == "head" and tag not in IN_HEAD:
-            stack.pop()
+            cut(len(stack) - 1)
         if tag == "tr" and top in {"td", "th"}:
-            stack.pop()
+            cut(len(stack) - 1)
         if tag in {"td", "th"} and stack[-1].tag in {"table", "thead", "tbody", "tfoot"}:
             start("tr", "")
         own = Element(tag, attributes)
-        stack[-1].children.append(own)
-        if tag not in VOID and len(stack) < DEEPEST:
+        if tag in VOID or len(stack) < DEEPEST:
+            stack[-1].children.append(own)
+        elif own.seen():
+            # Too deep for a level of its own: its text goes where the last level's goes.
+            if tag in BLOCK:
+                stack[-1].children.append(Element("div"))
+            own.children = stack[-1].children
+        if tag not in VOID:
             stack.append(own)
+            opened[tag] += 1
         return own
 
     at, last = 0, len(page) if "<!" in page else page.rfind(">") + 1  # no tag ends behind the last ">"
@@ -145,11 +172,11 @@ def parse(page: str) -> Element:
         if not tag:
             continue
         if found[1] or found[4]:
-            if tag == "p" and not any(e.tag == "p" for e in stack) or tag == "br":
+            if tag == "p" and not opened["p"] or tag == "br":
                 start(tag, "")
-            for depth in range(len(stack) - 1, 0, -1):
+            for depth in range(len(stack) - 1, 0, -1) if opened[tag] else ():
                 if stack[depth].tag == tag:
-                    del stack[depth:]
+                    cut(depth)
                     break
                 if stack[depth].tag in SCOPE and tag not in {"table", "tr", "tbody", "thead", "tfoot", "body", "html"}:
                     break
@@ -169,7 +196,7 @@ def parse(page: str) -> Element:
             closing = page.find(">", end.end()) if end else -1
             at = closing + 1 if closing >= 0 else len(page)
             if stack[-1] is own:
-                stack.pop()
+                cut(len(stack) - 1)
     return root
 
 
@@ -305,33 +332,52 @@ def _table(own: Element, out: Lines):
     rows = _rows(own, out)
     out.end_line()
     grid: list[dict[int, list[str]]] = []
-    taken: dict[int, int] = {}  # column: rows it is still covered
+    covered: list[tuple[int, int, int]] = []  # columns from, behind the last, and the last row, of cells over several rows
     widths: dict[int, int] = {}
-    for cells in rows:
-        line, at, covered = {}, 0, dict(taken)
-        taken = {c: n - 1 for c, n in covered.items() if n > 1}
+    for row, cells in enumerate(rows):
+        line, at, nth = {}, 0, 0
+        covered = [c for c in covered if c[2] >= row]
+        added = []
         for cell in cells:
-            while at in covered:
-                at += 1
+            while nth < len(covered) and covered[nth][0] <= at:
+                at = max(at, covered[nth][1])
+                nth += 1
             wide = min(max(cell.number("colspan") or 1, 1), 1000)
             tall = min(max(cell.number("rowspan") or 1, 1), 65534)
             text = render(cell) if cell.seen() else []
-            line[at] = text
+            if text:
+                line[at] = text
             if wide == 1:
                 widths[at] = max(widths.get(at, 0), *map(len, text), 0)
             if tall > 1:
-                taken |= {c: tall - 1 for c in range(at, at + wide)}
+                # Neighbours that end in the same row are one range.
+                if added and added[-1][1] == at and added[-1][2] == row + tall - 1:
+                    added[-1] = (added[-1][0], at + wide, row + tall - 1)
+                else:
+                    added.append((at, at + wide, row + tall - 1))
             at += wide
+        covered = sorted(covered + added) if added else covered
         grid.append(line)
-    used = sorted({c for line in grid for c in line})
+    place, begins = {}, 0
+    for c in sorted({c for line in grid for c in line} | set(widths)):
+        place[c] = begins
+        begins = min(begins + min(widths.get(c, 0), WIDEST) + len(GAP), FARTHEST)
     for line in grid:
-        height = max(map(len, line.values()), default=0)
-        for n in range(height):
-            shown = ""
-            for c in used:
-                piece = line[c][n] if c in line and n < len(line[c]) else ""
-                shown += piece + " " * max(0, min(widths.get(c, 0), WIDEST) - len(piece)) + GAP
-            out.put([shown.rstrip()])
+        for n in range(max(map(len, line.values()), default=0)):
+            parts, size = [], 0
+            for c in sorted(line):
+                piece = line[c][n] if n < len(line[c]) else ""
+                if not piece:
+                    continue
+                if size > place[c] and place[c] < FARTHEST:
+                    # A piece before it is too wide: go on in the next line.
+                    out.put(["".join(parts).rstrip()])
+                    parts, size = [], 0
+                gap = " " * (place[c] - size) if size <= place[c] else GAP
+                parts += [gap, piece]
+                size += len(gap) + len(piece)
+            if parts:
+                out.put(["".join(parts).rstrip()])
 
 
 def page_text(page: str | None) -> str:

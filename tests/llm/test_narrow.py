@@ -1,6 +1,7 @@
 """Operators that look at one row at a time: tokens, licenses, languages, quality, pages."""
 
 import random
+import time
 import zlib
 from hashlib import sha256
 
@@ -179,3 +180,32 @@ def test_hard_pages(spark):
     got = {r["page_id"]: r["text"] for r in extract_text(df).collect()}
     assert got[0] == "x" and got[1] == "y" and got[4] == "z" and got[3] == "<" * 50_000
     assert extract_text(df.limit(0)).count() == 0
+
+
+def test_hidden_text_stays_hidden_at_any_depth():
+    for depth in (10, 149, 150, 151, 400):
+        deep, end = "<div>" * depth, "</div>" * depth
+        assert page_text(f"<div hidden>{deep}no{end}</div><p>yes") == "yes"
+        assert page_text(f"{deep}<div hidden>no<div>no</div>no</div>yes{end}<p>more").split() == ["yes", "more"]
+        lines = page_text(f"{deep}a<div>b</div>c<b>d</b>{end}e").split("\n")
+        assert [x for x in lines if x] == ["a", "b", "cd", "e"]
+
+
+def test_columns_stay_in_line_behind_wide_cells():
+    rows = f"<tr><td>{'x' * 70}<td>b<td>c<tr><td>a<td>{'y' * 61} z<td>c2<tr><td>a<td>b<td>d"
+    assert page_text(f"<table>{rows}</table>").split("\n") == [
+        "x" * 70, " " * 62 + "b" + " " * 61 + "c", "a" + " " * 61 + "y" * 61 + " z", " " * 124 + "c2", "a" + " " * 61 + "b" + " " * 61 + "d"
+    ]
+
+
+def test_large_tables_and_deep_pages_take_linear_time():
+    pages = {
+        "<table><tr>" + "<td>x" * 8_000 + "<tr><td>y" * 8_000 + "</table>": 16_000,
+        "<table><tr>" + "<td rowspan=65534>x" * 4_000 + "<tr><td>y" * 4_000 + "</table>": 8_000,
+        "<div>" * 50_000 + "x" + "</div>" * 50_000: 1,
+        "<table><tr><td>" + "z" * 100_000 + "<td>q" + "<tr><td>a<td>b" * 20_000 + "</table>": 140_001,
+    }
+    for page, letters in pages.items():
+        start = time.perf_counter()
+        assert sum(map(str.isalpha, page_text(page))) == letters
+        assert time.perf_counter() - start < 8
