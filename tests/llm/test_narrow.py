@@ -209,3 +209,34 @@ def test_large_tables_and_deep_pages_take_linear_time():
         start = time.perf_counter()
         assert sum(map(str.isalpha, page_text(page))) == letters
         assert time.perf_counter() - start < 8
+
+
+def test_language_against_plain_naive_bayes(spark, docs):
+    """Log-probabilities added up n-gram by n-gram, over the same buckets."""
+    model = langid.train(docs)
+    texts = [r["text"] for r in docs.limit(40).collect()] + [None, "", "123 ...", "é", "the of and"]
+    names, scores = langid.predict_all(texts, model)
+    for text, name, score in zip(texts, names, scores):
+        total, some = model["prior"].copy(), False
+        for at in langid.grams(text) if text else ():
+            for bucket in at.tolist():
+                total, some = total + model["matrix"][bucket], True
+        odds = np.exp(total - total.max())
+        want = (model["languages"][int(total.argmax())], 1 / odds.sum()) if some else ("und", 0.0)
+        assert name == want[0] and abs(score - want[1]) < 1e-6
+    counts = np.zeros((1 << langid.HASH_BITS, len(model["languages"])))
+    for r in docs.collect():
+        if r["lang"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 3 != 1:
+            for at in langid.grams(r["text"] or ""):
+                np.add.at(counts[:, model["languages"].index(r["lang"])], at, 1)
+    chance = (counts + langid.SMOOTHING) / (counts + langid.SMOOTHING).sum(axis=0)
+    assert np.abs(np.log(chance) - model["matrix"]).max() < 1e-4
+    assert langid.train(docs, most=2)["languages"] == sorted(langid.train(docs, most=2)["languages"])
+    assert len(langid.train(docs, most=2)["languages"]) == 2
+
+
+def test_language_edges(spark, docs):
+    none = docs.limit(0)
+    assert langid.language_report(none).count() == 0
+    blank = docs.limit(3).withColumns({"lang": F.lit(None).cast("string"), "_parts": F.lit(1), "_lang": F.lit("x")})
+    assert {r["lang_pred"] for r in langid.language_report(blank).collect()} == {"und"}
