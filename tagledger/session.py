@@ -118,7 +118,7 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     opened = _scope.get()
     if opened is not None:
         opened.append(path)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -131,8 +131,7 @@ def release(*staged: DataFrame) -> None:
     for df in staged:
         for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
             delete_folder(df.sparkSession, folder)
-    if staged:
-        staged[0].sparkSession._jvm.System.gc()
+    SparkSession.active()._jvm.System.gc()
 
 
 @contextmanager
