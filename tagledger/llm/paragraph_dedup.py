@@ -63,8 +63,7 @@ _PERMUTE = np.random.default_rng(11).integers(1, 2**63, (2, BANDS * ROWS), np.ui
 _digest = xxhash.xxh3_64_intdigest
 
 LINE, RUN = 0, 1
-_ANCHORS = "doc_id {kind}, tie bigint, at int, shingle bigint"
-_NEAR = _ANCHORS + ", start int, stop int"
+_SHINGLES = "doc_id {kind}, tie bigint, at int, shingle bigint"
 _ROWS_OUT = 65_536  # rows of a batch of shingles, and the text they end in
 _HELD = 400_000  # elements of units that are sent on at once
 _UNIT_SQL = "kind int, start int, stop int, words int, digest bigint, bands array<bigint>, elements array<int>"
@@ -172,15 +171,17 @@ def line_units(text: str | None, min_words: int) -> list[dict]:
         places.clear()
         held.clear()
 
+    first = 0
     for start, stop in spans(text or "", _LINES):
-        words = text[start:stop].lower().encode("utf-8", "surrogatepass").split()
+        words = text[start:stop].lower().split()
         if len(words) >= min_words:
-            places.append((start, stop))
-            held.append(words)
+            places.append((first, first + len(words)))
+            held.append("\n".join(words).encode("utf-8", "surrogatepass").split(b"\n"))
             size += len(words)
             if size > _WORDS_HELD:
                 close()
                 size = 0
+        first += len(words)
     close()
     return out
 
@@ -232,24 +233,31 @@ def returns(hashes: np.ndarray, least: int) -> list[tuple[int, int]]:
     return parts
 
 
-def run_units(hashes: np.ndarray, starts: np.ndarray, stops: np.ndarray, counts: np.ndarray, least: int, similarity: float) -> Iterator[dict]:
-    """Units of one run of shingles that repeat."""
-    elements = (hashes.view(np.uint64) >> np.uint64(32)).astype(np.uint32)
+def run_units(elements: np.ndarray, at: int, counts: np.ndarray, least: int, similarity: float) -> Iterator[dict]:
+    """Units of one run of shingles that repeat, the first of them at this word."""
     for low, high in levels(counts, least, similarity):
-        for first, last in returns(hashes[low:high], least):
+        for first, last in returns(elements[low:high], least):
             first, last = low + first, low + last
-            own = distinct_values(elements[first:last])
-            yield unit(RUN, int(starts[first]), int(stops[last - 1]), last - first + SHINGLE - 1, own)
+            words = last - first + SHINGLE - 1
+            yield unit(RUN, at + first, at + first + words, words, distinct_values(elements[first:last]))
 
 
-def _tie() -> Column:
-    """Tells texts of one id apart: 32 bits, and 64 where there is no id."""
-    text = F.coalesce("text", F.lit(""))
-    return F.when(F.col("doc_id").isNull(), F.xxhash64(text)).otherwise(F.hash(text).cast("bigint"))
+def repeated_ids(docs: DataFrame) -> DataFrame | None:
+    """(_several): ids of more than one row; None if there are none."""
+    ids = docs.filter("doc_id is not null").groupBy(F.col("doc_id").alias("_several")).agg(F.count("*").alias("_n"))
+    ids = stage(ids.filter("_n > 1").select("_several"), "repeated-ids")
+    return None if ids.isEmpty() else ids
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("tie", _tie())
+def _keyed(docs: DataFrame, several: DataFrame | None) -> DataFrame:
+    """Add ``tie``, which tells texts apart where the id does not: 0 for an id that occurs once."""
+    text = F.coalesce("text", F.lit(""))
+    unnamed = F.when(F.col("doc_id").isNull(), F.xxhash64(text))
+    if several is None:
+        return docs.withColumn("tie", unnamed.otherwise(F.lit(0).cast("bigint")))
+    joined = lookup_join(docs, several, F.col("doc_id") == F.col("_several"))
+    tie = unnamed.when(F.col("_several").isNotNull(), F.hash(text).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
+    return joined.withColumn("tie", tie).drop("_several")
 
 
 def _text_key() -> Column:
@@ -265,12 +273,12 @@ def copied_texts(docs: DataFrame) -> DataFrame:
     return stage(many.select("_key", F.col("_first.doc_id").alias("_first")), "copied-texts")
 
 
-def distinct_texts(docs: DataFrame, copied: DataFrame) -> DataFrame:
+def distinct_texts(keyed: DataFrame, copied: DataFrame) -> DataFrame:
     """(doc_id, tie, text), one row per text, that of its first document.
 
     Only texts that occur more than once are brought together, one row of each per task.
     """
-    keyed = _keyed(docs).withColumn("_own", _text_key())
+    keyed = keyed.select("doc_id", "tie", "text").withColumn("_own", _text_key())
     small = fits_broadcast(copied)
     several = F.broadcast(copied) if small else copied
     single = keyed.join(several, F.col("_own") == F.col("_key"), "left_anti").select("doc_id", "tie", "text")
@@ -282,9 +290,9 @@ def distinct_texts(docs: DataFrame, copied: DataFrame) -> DataFrame:
     return out if small else stage(out, "texts")
 
 
-def copies(docs: DataFrame, copied: DataFrame, min_words: int) -> DataFrame:
+def copies(keyed: DataFrame, copied: DataFrame, min_words: int) -> DataFrame:
     """Whole texts that occur in several documents, as occurrences like those of passages."""
-    keyed = _keyed(docs).withColumn("_own", _text_key())
+    keyed = keyed.withColumn("_own", _text_key())
     found = lookup_join(keyed, copied, F.col("_own") == F.col("_key"), "inner")
     words = F.size(F.regexp_extract_all("text", F.lit(r"(\S+)"), F.lit(1)))
     kept = F.col("doc_id").eqNullSafe(F.col("_first"))
@@ -292,7 +300,7 @@ def copies(docs: DataFrame, copied: DataFrame, min_words: int) -> DataFrame:
         "doc_id",
         "tie",
         F.lit(0).alias("start"),
-        F.length("text").cast("int").alias("stop"),
+        words.alias("stop"),
         words.alias("n_words"),
         F.col("_first").alias("kept_doc_id"),
         F.xxhash64("_key").alias("component_id"),
@@ -314,22 +322,19 @@ def _shingle_rows(near_too: bool, window: int, least: int):
             def close() -> pa.RecordBatch:
                 take = pa.array(np.concatenate(rows))
                 columns = [pa.array(np.concatenate(c)) for c in zip(*parts)]
-                names = ["doc_id", "tie", "at", "shingle", "start", "stop"][: 2 + len(columns)]
+                names = ["doc_id", "tie", "at", "shingle"]
                 return pa.record_batch([batch.column("doc_id").take(take), batch.column("tie").take(take), *columns], names=names)
 
             for n, text in enumerate(batch.column("text")):
-                text = text.as_py() or ""
-                hashes = word_shingles(text)
+                hashes = word_shingles(text.as_py() or "")
+                places = anchors(hashes, window)
                 if near_too:
                     known = batch.column("places")[n].values.to_numpy(zero_copy_only=False)
-                    places = near(anchors(hashes, window), known, window, least)
-                    starts = np.array([*(m.start() for m in _WORD.finditer(text)), len(text)], np.int32)
-                    part = [places.astype(np.int32), hashes[places], starts[places], starts[places + SHINGLE]]
+                    places = near(places, known, window, least)
                 else:
-                    places = distinct_values(anchors(hashes, window))
-                    part = [places.astype(np.int32), hashes[places]]
+                    places = distinct_values(places)
                 rows.append(np.full(len(places), n, np.int32))
-                parts.append(part)
+                parts.append([places.astype(np.int32), hashes[places]])
                 size += len(places)
                 if size > _ROWS_OUT:
                     yield close()
@@ -384,14 +389,15 @@ def _line_rows(min_words: int):
 
 
 def _run_rows(min_words: int, similarity: float):
-    """Units of shingles (doc_id, tie, at, shingle, start, stop, count) that come by document and place."""
+    """Units of shingles (doc_id, tie, at, element, count) that come by document and place."""
     least = max(1, min_words - SHINGLE + 1)
 
     def made(batch: pa.RecordBatch, edges: np.ndarray) -> Iterator[tuple[int, dict]]:
-        hashes, starts, stops, counts = (batch.column(c).to_numpy() for c in ("shingle", "start", "stop", "count"))
+        at, elements, counts = (batch.column(c).to_numpy() for c in ("at", "element", "count"))
+        elements = elements.view(np.uint32)
         for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
             if b - a >= least:
-                for one in run_units(hashes[a:b], starts[a:b], stops[a:b], counts[a:b], least, similarity):
+                for one in run_units(elements[a:b], int(at[a]), counts[a:b], least, similarity):
                     yield a, one
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -424,20 +430,26 @@ def units(docs: DataFrame, min_words: int, similarity: float = SIMILARITY) -> Da
 
     def counted(found: DataFrame, name: str) -> DataFrame:
         counts = found.groupBy(F.col("shingle").alias("_shingle")).agg(F.count("*").alias("count"))
-        return stage(counts.filter("count > 1"), name)
+        out = stage(counts.filter("count > 1"), name)
+        release()
+        return out
 
-    chosen = stage(docs.mapInArrow(_shingle_rows(False, window, least), _ANCHORS.format(kind=kind)), "anchor-rows")
+    shingled = _SHINGLES.format(kind=kind)
+    chosen = stage(docs.mapInArrow(_shingle_rows(False, window, least), shingled), "anchor-rows")
     anchored = counted(chosen, "anchors")
     marked = repeated(chosen, anchored).groupBy(F.col("doc_id").alias("_id"), F.col("tie").alias("_tie"))
     marked = stage(marked.agg(F.collect_set("at").alias("places")), "marked")
     release(chosen, anchored)
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("tie") == F.col("_tie"))
     held = docs.join(marked, same).select("doc_id", "tie", "text", "places")
-    close = stage(held.mapInArrow(_shingle_rows(True, window, least), _NEAR.format(kind=kind)), "near-anchors")
+    close = stage(held.mapInArrow(_shingle_rows(True, window, least), shingled), "near-anchors")
     release(marked)
     shared = counted(close, "shingles")
-    placed = repeated(close, shared).repartition("doc_id", "tie").sortWithinPartitions("doc_id", "tie", "at")
-    placed = placed.select("doc_id", "tie", "at", "shingle", "start", "stop", F.col("count").cast("int").alias("count"))
+    # An element of a unit is the upper half of its shingle.
+    element = F.shiftright("shingle", 32).cast("int").alias("element")
+    count = F.least("count", F.lit(2**31 - 1)).cast("int").alias("count")
+    short = repeated(close, shared).select("doc_id", "tie", "at", element, count)
+    placed = short.repartition("doc_id", "tie").sortWithinPartitions("doc_id", "tie", "at")
     runs = placed.mapInArrow(_run_rows(min_words, similarity), shape)
     out = stage(runs.unionByName(docs.mapInArrow(_line_rows(min_words), shape)), "passages")
     release(close, shared)
@@ -525,12 +537,13 @@ def repeated_passages(
 ) -> DataFrame:
     """Occurrences of passages that repeat: (doc_id, tie, start, stop, n_words, kept_doc_id, component_id, kept).
 
-    ``start`` and ``stop`` are places in the text in code points, ``tie`` a hash of the text;
+    ``start`` and ``stop`` number the words of the text, from 0 and without the last; ``tie`` tells texts of one id apart;
     ``kept_doc_id`` is the document of the occurrence that stays.
     """
     docs = df.select(F.col(f"`{id_}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    keyed = _keyed(docs, repeated_ids(docs))
     copied = copied_texts(docs)
-    found = units(distinct_texts(docs, copied), min_words, similarity)
+    found = units(distinct_texts(keyed, copied), min_words, similarity)
     places = found.select("doc_id", "tie", "start", "stop", "words", "digest").distinct()
     signed = stage(found.groupBy("digest").agg(F.first("bands").alias("bands")), "passages-signed")
     links = stage(similar(signed, similarity, elements=found), "passages-links")
@@ -558,11 +571,11 @@ def repeated_passages(
         "component_id",
         "kept",
     )
-    return passages.unionByName(copies(docs, copied, min_words))
+    return passages.unionByName(copies(keyed, copied, min_words))
 
 
 def cut(text: Column, spans: Column) -> Column:
-    """The text without the spans; overlapping spans are taken together."""
+    """The text without the spans of words and what is blank behind each; overlapping spans are taken together."""
 
     @F.arrow_udf("string")
     def scan(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
@@ -570,10 +583,13 @@ def cut(text: Column, spans: Column) -> Column:
             out = []
             for whole, gone in zip(texts.to_pylist(), lists.to_pylist()):
                 if whole is not None and gone:
+                    starts = [m.start() for m in _WORD.finditer(whole)]
+                    places = [0, *starts[1:], len(whole)]
                     at, kept = 0, []
                     for one in sorted(gone, key=lambda s: (s["start"], s["stop"])):
-                        kept.append(whole[at : max(at, one["start"])])
-                        at = max(at, one["stop"])
+                        start, stop = (places[min(one[c], len(places) - 1)] for c in ("start", "stop"))
+                        kept.append(whole[at : max(at, start)])
+                        at = max(at, stop)
                     whole = "".join([*kept, whole[at:]])
                 out.append(whole)
             yield pa.array(out, pa.string())
@@ -587,14 +603,21 @@ def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS, similarity: flo
     gone = found.groupBy(F.col("doc_id").alias("_id"), F.col("tie").alias("_tie")).agg(
         F.collect_set(F.struct("start", "stop")).alias("_gone")
     )
-    joined = docs.withColumn("_mine", _tie()).join(
-        stage(gone, "passages-gone"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_mine") == F.col("_tie")), "left"
-    )
-    out = joined.withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(cut(F.col("text"), F.col("_gone"))))
-    if "n_chars" in docs.columns:
-        changed = F.length("text").cast(dict(docs.dtypes)["n_chars"])
-        out = out.withColumn("n_chars", F.when(F.col("_gone").isNull(), F.col("n_chars")).otherwise(changed))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+    renamed = docs.select(*[F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(docs.columns)], "doc_id", "text")
+    keyed = _keyed(renamed, repeated_ids(docs.select("doc_id")))
+    joined = keyed.join(stage(gone, "passages-gone"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("tie") == F.col("_tie")), "left")
+    touched = F.col("_gone").isNotNull()
+    joined = joined.withColumn("text", F.when(touched, cut(F.col("text"), F.col("_gone"))).otherwise(F.col("text")))
+    kinds = dict(docs.dtypes)
+    out = []
+    for i, c in enumerate(docs.columns):
+        if c == "text":
+            out.append(F.col("text"))
+        elif c == "n_chars":
+            out.append(F.when(touched, F.length("text").cast(kinds[c])).otherwise(F.col(f"_c{i}")).alias(c))
+        else:
+            out.append(F.col(f"_c{i}").alias(c))
+    return joined.select(*out)
 
 
 def passage_report(docs: DataFrame) -> DataFrame:
