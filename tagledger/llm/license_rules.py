@@ -96,12 +96,66 @@ NAMES: list[tuple[str, str]] = [
     ("ms-pl", f"microsoft public {_L}"),
     ("openssl", f"openssl {_L}"),
 ]
-# A name counts for more where the words around it grant something.
+_GRANT = "(licensed|released|distributed|published|available|provided|covered|used) under the? (terms|conditions)? of? the?"
+_SPDX = f"spdx {_L} identifier"
+# A name counts for more where the words around it grant something, and for nothing where they deny it.
 CONTEXTS: list[tuple[float, str]] = [
-    (1.0, f"spdx {_L} identifier {{}}"),
-    (0.95, "(licensed|released|distributed|published|available|provided|covered|used) under the? (terms|conditions)? of? the? {}"),
+    (1.0, f"{_SPDX} {{}}"),
+    (0.95, f"{_GRANT} {{}}"),
     (0.8, "{}"),
 ]
+DENIED: list[str] = [f"not {_GRANT} {{}}", "not the? {}"]
+# Short names, which mean a license only behind words that say so.
+SHORT: list[tuple[str, str]] = [
+    ("mit-0", "mit 0"),
+    ("mit", "mit"),
+    ("isc", "isc"),
+    ("zlib", "zlib"),
+    ("x11", "x11"),
+    ("ncsa", "ncsa"),
+    ("mpl-2.0", "mpl 2|v2 0?"),
+    ("mpl-1.1", "mpl 1|v1 1"),
+    ("mpl", "mpl"),
+    ("mpl", "mozilla"),
+    ("epl-2.0", "epl 2|v2 0?"),
+    ("epl-1.0", "epl 1|v1 0?"),
+    ("epl", "epl"),
+    ("epl", "eclipse"),
+    ("eupl", "eupl 1? 1|2?"),
+    ("cddl", "cddl 1? 0|1?"),
+    ("cpl-1.0", "cpl 1 0"),
+    ("bsl-1.0", "bsl 1 0"),
+    ("boost-1.0", "boost 1 0"),
+    ("apache-2.0", "apache 2|v2 0?"),
+    ("apache-1.1", "apache 1|v1 1"),
+    ("apache", "apache"),
+    ("asl-2.0", "asl 2|v2 0?"),
+    ("agpl", "agpl"),
+    ("lgpl", "lgpl"),
+    ("gpl", "gpl"),
+    ("gpl", "gnu"),
+    ("bsd-3-clause", "bsd 3"),
+    ("bsd-2-clause", "bsd 2"),
+    ("bsd", "bsd"),
+    ("artistic-2.0", "artistic 2|v2 0?"),
+    ("artistic", "artistic"),
+    ("ofl-1.1", "ofl 1 1"),
+    ("ms-pl", "ms pl"),
+    ("ms-rl", "ms rl"),
+    ("postgresql", "postgresql"),
+    ("python-2.0", "psf 2? 0?"),
+    ("afl-3.0", "afl 3 0"),
+    ("osl-3.0", "osl 3 0"),
+    ("upl-1.0", "upl 1 0"),
+    ("vim", "vim"),
+    ("w3c", "w3c"),
+    ("icu", "icu"),
+    ("ijg", "ijg"),
+    ("libpng", "libpng 2? 0?"),
+    ("curl", "curl"),
+    ("openssl", "openssl"),
+    ("odbl", "odbl 1? 0?"),
+]
 # Words of the licenses' own texts and of notices.
 TEXTS: list[tuple[float, str, str]] = [
     (0.9, "mit", "permission is hereby granted free of charge to any person obtaining a copy"),
@@ -146,18 +200,33 @@ def keyword(spec: str) -> str:
 
 @dataclass(frozen=True)
 class Rule:
+    """A signature; it is looked for in texts that hold ``keyword`` and, if there is one, ``also``."""
+
     label: str
     keyword: str
     pattern: str
     score: float
+    priority: float
+    also: str = ""
 
 
 def ordered_rules() -> list[Rule]:
     """All rules, the one with the highest priority first."""
-    named = [
-        Rule(label, keyword(name), words_pattern(context.format(name)), score)
+    rules = [
+        Rule(label, keyword(name), words_pattern(context.format(name)), score, score)
         for score, context in CONTEXTS
         for label, name in NAMES
     ]
-    texts = [Rule(label, keyword(text), words_pattern(text), score) for score, label, text in TEXTS]
-    return sorted(named + texts, key=lambda r: -r.score)
+    rules += [
+        Rule("denied", keyword(name), words_pattern(context.format(name)), 0.2, 1.1, "not")
+        for context in DENIED
+        for _, name in NAMES
+    ]
+    # Behind the full names of the same context, so that these find what they can first.
+    rules += [
+        Rule(label, name.split(" ")[0], words_pattern(f"{context} {name}"), score, score - 0.01, also)
+        for score, context, also in ((1.0, _SPDX, "spdx"), (0.95, _GRANT, "under"))
+        for label, name in SHORT
+    ]
+    rules += [Rule(label, keyword(text), words_pattern(text), score, score) for score, label, text in TEXTS]
+    return sorted(rules, key=lambda r: -r.priority)

@@ -7,7 +7,11 @@ on both sides of each; every rule replaces what it finds by a mark.  What lies i
 later rules run, so contained detections are suppressed, and overlaps go to the earlier
 rule.  Everything happens inside the row: no shuffle, no explosion, linear in the text.
 
-Null text counts as empty (no words, no labels, score 0).  Rows are kept as they are.
+A name that is denied ("not licensed under …") is the label ``denied`` and nothing else.  Short names such as MIT or
+MPL-2.0 count behind words that say they are a license.
+
+Null text counts as empty (no words, no labels, score 0).  Rows are kept as they are.  Columns with names
+of the results are replaced; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -47,13 +51,15 @@ def _masked(spaced: Column, keywords: Column, rules: list[Rule]) -> Column:
         *[
             F.struct(
                 F.lit(r.keyword).alias("keyword"),
+                F.lit(r.also).alias("also"),
                 F.lit(r.pattern).alias("pattern"),
                 F.lit(f" \x01{i}\x01 ").alias("mark"),
             )
             for i, r in enumerate(rules, 1)
         ]
     )
-    gated = F.filter(table, lambda r: F.array_contains(keywords, r["keyword"]))
+    both = lambda r: (r["also"] == "") | F.array_contains(keywords, r["also"])
+    gated = F.filter(table, lambda r: F.array_contains(keywords, r["keyword"]) & both(r))
     return F.aggregate(gated, spaced, lambda t, r: F.regexp_replace(t, r["pattern"], r["mark"]))
 
 
@@ -64,7 +70,7 @@ def scan_licenses(df: DataFrame, text: str = "text", rules: list[Rule] | None =
     module says.  Columns of these names are replaced.
     """
     rules = rules or ordered_rules()
-    known = sorted({r.keyword for r in rules} | {w for phrase in BASE for w in phrase.split()})
+    known = sorted({r.keyword for r in rules} | {r.also for r in rules if r.also} | {w for phrase in BASE for w in phrase.split()})
     words = df.withColumn("_plain", plain_words(F.col(f"`{text}`")))
     words = words.withColumn("_split", F.split("_plain", " "))
     words = words.withColumns(
@@ -132,7 +138,7 @@ def license_sql() -> str:
     quote = lambda s: "'" + s.replace("'", "''") + "'"
     rules = ordered_rules()
     listed = ",\n".join(
-        f"({i}, {quote(r.label)}, {quote(f' {r.keyword} ')}, {quote(r.pattern)}, chr(32) || chr(1) || '{i}' || chr(1) || chr(32), {r.score}::double)"
+        f"({i}, {quote(r.label)}, {quote(f' {r.keyword} ')}, {quote(f' {r.also} ' if r.also else ' ')}, {quote(r.pattern)}, chr(32) || chr(1) || '{i}' || chr(1) || chr(32), {r.score}::double)"
         for i, r in enumerate(rules, 1)
     )
     count = lambda s: f"((length({s}) - length(replace({s}, ' ', ''))) // 2)"
@@ -147,7 +153,7 @@ def license_sql() -> str:
         label.append(f"CASE WHEN contains(t, {own}) THEN '{name}' END")
     keywords = "|".join(sorted({r.keyword for r in rules}))
     return f"""
-    WITH RECURSIVE rules(i, label, keyword, pattern, mark, score) AS (VALUES {listed}),
+    WITH RECURSIVE rules(i, label, keyword, also, pattern, mark, score) AS (VALUES {listed}),
     plain AS (
       SELECT doc_id, row_number() OVER () AS r,
              trim(regexp_replace(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{SEPARATORS}', ' ', 'g'), ' ') AS p
@@ -156,8 +162,8 @@ def license_sql() -> str:
     masked(r, i, t) AS (
       SELECT r, 0, t FROM spaced WHERE regexp_matches(t, ' (?:{keywords}) ')
       UNION ALL
-      SELECT m.r, u.i, CASE WHEN contains(m.t, u.keyword) THEN regexp_replace(m.t, u.pattern, u.mark, 'g') ELSE m.t END
-      FROM masked m JOIN rules u ON u.i = m.i + 1),
+      SELECT m.r, u.i, CASE WHEN contains(p.t, u.keyword) AND contains(p.t, u.also) THEN regexp_replace(m.t, u.pattern, u.mark, 'g') ELSE m.t END
+      FROM masked m JOIN rules u ON u.i = m.i + 1 JOIN spaced p ON p.r = m.r),
     marks AS (
       SELECT r, unnest(regexp_extract_all(t, '\\x01([0-9]+)\\x01', 1))::int AS i
       FROM masked WHERE i = {len(rules)}),

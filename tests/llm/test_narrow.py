@@ -240,3 +240,36 @@ def test_language_edges(spark, docs):
     assert langid.language_report(none).count() == 0
     blank = docs.limit(3).withColumns({"lang": F.lit(None).cast("string"), "_parts": F.lit(1), "_lang": F.lit("x")})
     assert {r["lang_pred"] for r in langid.language_report(blank).collect()} == {"und"}
+
+
+LICENSE_NOTICES = {
+    "SPDX-License-Identifier: MIT": "mit",
+    "// SPDX-License-Identifier: MPL-2.0": "mpl-2.0",
+    "SPDX-License-Identifier: ISC": "isc",
+    "SPDX-License-Identifier: EPL-2.0": "epl-2.0",
+    "SPDX-License-Identifier: Zlib": "zlib",
+    "SPDX-License-Identifier: Apache-2.0": "apache-2.0",
+    "SPDX-License-Identifier: GPL-3.0-only": "gpl-3.0",
+    "SPDX-License-Identifier: BSD-3-Clause": "bsd-3-clause",
+    "This code is released under GPL.": "gpl",
+    "licensed under the MIT": "mit",
+    "Licensed under the Apache License, Version 2.0 (the License)": "apache-2.0",
+    "available under the terms of the MIT license": "mit",
+    "distributed under the Boost Software License, Version 1.0": "boost-1.0",
+    "Permission is hereby granted, free of charge, to any person obtaining a copy": "mit",
+    "This work is licensed under CC BY-SA 4.0": "cc-by,cc-by-sa",
+    "not licensed under the MIT License": "denied",
+    "It is not released under the GNU General Public License": "denied,gpl",
+    "komm mit uns unter den Baum": "",
+    "he went under the bridge with apache helicopters": "",
+    "the vim editor and the curl tool, used under load": "",
+    "an artistic work in the public eye": "",
+}
+
+
+def test_hand_labelled_notices(spark):
+    df = spark.createDataFrame(list(enumerate(LICENSE_NOTICES)), "doc_id int, text string").withColumn("labels", F.lit("old"))
+    got = {r["text"]: r["labels"] for r in licenses.scan_licenses(df).collect()}
+    assert got == LICENSE_NOTICES
+    assert len(licenses.ordered_rules()) > 400
+    assert licenses.scan_licenses(df.limit(0)).count() == 0
