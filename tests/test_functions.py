@@ -77,3 +77,18 @@ def test_calendar(spark):
     assert (sunday["date_key"], sunday["day_of_week"], sunday["week_number"], sunday["is_weekend"]) == (20260104, 0, 1, True)
     assert (sunday["day_name"], sunday["month_name"]) == ("Sunday   ", "January  ")
     assert (new_year["day_of_week"], new_year["week_number"], new_year["year"], new_year["is_weekend"]) == (5, 53, 2027, False)
+
+
+def test_every_reference_of_the_standard_table(spark):
+    from html.entities import html5
+
+    rows = [(f"x &{name} y", f"x {value} y") for name, value in html5.items() if name.endswith(";")]
+    rows += [(f"&{name}=", f"{value}=") for name, value in html5.items() if not name.endswith(";")]
+    df = spark.createDataFrame(rows, "v string, want string").select("v", "want", text.decode_references(F.col("v")).alias("got"))
+    assert df.filter(~F.col("got").eqNullSafe(F.col("want"))).collect() == []
+
+
+def test_strip_takes_every_white_space(values):
+    spaces = [c for c in map(chr, range(0x110000)) if c.isspace()]
+    assert sorted(text.SPACES) == sorted(spaces)
+    assert values(text.strip_text, [f"{c}a{c}b{c}" for c in spaces]) == [f"a{c}b" for c in spaces]

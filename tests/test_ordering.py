@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tagledger.operators.heavy import fits_broadcast, heavy_keys, heavy_values, lookup_join
+from tagledger.operators.heavy import fits_broadcast, heavy_keys, heavy_tables, heavy_values, lookup_join
 from tagledger.operators.ordering import global_row_number, grouped_row_number, sorted_runs
 from tagledger.operators.trend import previous_value
 
@@ -103,3 +103,22 @@ def test_no_top_of_heavy_keys(spark):
 def test_broadcast_is_checked_by_bytes(spark):
     wide = spark.range(10).select(F.lit("x" * 1000).alias("t"))
     assert fits_broadcast(wide, 10, 20_000) and not fits_broadcast(wide, 10, 5_000)
+
+
+def test_heavy_keys_are_exact_among_many(spark):
+    """Keys whose share is far below what a sketch of fixed size can tell, and shared hash ranges."""
+    many = spark.range(300_000).select((F.col("id") % 150_000).alias("k"))
+    some = spark.range(40).select((F.col("id") * 7).alias("k"))
+    found = heavy_tables(many.unionByName(some), {"k": F.col("k"), "none": F.lit(None).cast("long")}, 3)
+    assert sorted(r["value"] for r in found["k"].collect()) == [7 * i for i in range(40)]
+    assert {r["n"] for r in found["k"].collect()} == {3} and found["none"].isEmpty()
+    few = heavy_tables(many, {"k": F.col("k")}, 3, ranges=8)["k"]
+    assert few.isEmpty()
+
+
+def test_trend_joins_its_hot_keys_as_a_table(spark, skewed, no_coalescing):
+    hot = heavy_tables(skewed, {"k": F.col("k")}, 1500)["k"]
+    order = [F.col("t").asc_nulls_last(), F.col("v").asc_nulls_last()]
+    found = previous_value(skewed, "k", order, "v", "p", hot=hot)
+    naive = skewed.withColumn("p", F.lag("v").over(Window.partitionBy("k").orderBy(*order)))
+    assert found.count() == naive.count() and found.exceptAll(naive.select(*found.columns)).isEmpty()

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tagledger.functions.markup import TagRule, starts_with_tag
-from tagledger.plans.pages import pages_to_bronze
+from tagledger.plans.pages import pages_to_bronze, read_listings
 from tagledger.sources.pages import CardRules, card_records, cut_pages, extract_cards
 
 RULES = CardRules(base_url="https://h")
@@ -120,3 +120,17 @@ def test_pages_to_bronze(spark):
     found = pages_to_bronze(pages, RULES, "shop")
     assert [r["category"] for r in found.collect()] == ["x"] * 3
     assert found.first()["source"] == "shop"
+
+
+def test_nothing_behind_an_empty_page_is_parsed(spark):
+    sold = "<p>sold out</p>"
+    rows = [("x", n, card()) for n in (1, 2, 3, 4, 5)] + [("y", 1, card()), ("y", 2, sold), ("y", 3, card()), ("z", 1, None), ("z", 2, card())]
+    rows += [("gap", 1, card()), ("gap", 3, card() + card()), (None, 1, card()), (None, 2, "")]
+    pages = spark.createDataFrame([(c, n, "2026-08-04T06:00:00", h) for c, n, h in rows], "category string, page_num int, scraped_at string, html string")
+    read = read_listings(pages, RULES, max_pages=4)
+    parsed = {(r["category"], r["page_num"]): r["n_records"] for r in read.pages.collect()}
+    assert parsed == {
+        ("x", 1): 1, ("x", 2): 1, ("x", 3): 1, ("x", 4): 1, ("y", 1): 1, ("y", 2): 0, ("z", 1): 0,
+        ("gap", 1): 1, ("gap", 3): 2, (None, 1): 1, (None, 2): 0,
+    }
+    assert read.records.count() == sum(parsed.values())

@@ -3,11 +3,13 @@
 import re
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tagledger.operators import dims, fact
 from tagledger.operators.ordering import global_row_number, sorted_runs
 from tagledger.plans.silver import build_silver
+from tagledger.plans.star import refresh_star
 from tagledger.session import stage
 from tagledger.sources.pages import CardRules, card_records, extract_cards
 from tagledger.sources.silver import staging
@@ -92,3 +94,22 @@ def test_copies_are_numbered_in_sorted_order(base, capsys, monkeypatch):
 def test_numbers_need_no_second_shuffle(base, capsys):
     text = plan(global_row_number(base, [F.col("run_date").asc_nulls_last()], "n"), capsys, "simple")
     assert "rangepartitioning" not in text and text.count("hashpartitioning") == 1
+
+
+def test_stored_fact_is_joined_and_ranked_without_a_shuffle(spark, base, tmp_path, capsys):
+    database = "plans_star"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{tmp_path / 'db'}'")
+    try:
+        tables = refresh_star(base, database)
+        stored, products = tables["fact_price_snapshots"], tables["dim_product"]
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        joined = stored.join(products, "product_key")
+        assert "SortMergeJoin" in plan(joined, capsys, "simple") and "Exchange" not in plan(joined, capsys, "simple")
+        before = F.lag("current_price").over(Window.partitionBy("product_key").orderBy(*fact.history_order()))
+        lagged = stored.withColumn("again", before)
+        assert "Exchange" not in plan(lagged, capsys, "simple")
+        assert lagged.filter(~F.col("again").eqNullSafe(F.col("previous_price"))).isEmpty()
+        assert joined.count() == stored.count() == base.count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql(f"DROP DATABASE {database} CASCADE")
