@@ -50,8 +50,8 @@ MIN_WORDS = 40
 SHINGLE = 5
 SIMILARITY = 0.8
 WINDOW = 20  # shingles of which one is an anchor
-BANDS = 12
-ROWS = 4
+BANDS = 9
+ROWS = 3
 PART = 1_000  # members of a band group that are compared in one go
 _SLICE = 2_048  # elements that are permuted at once
 _WORDS_HELD = 20_000  # words of a text whose shingles are made at once, and the line they end in
@@ -513,7 +513,11 @@ def similar(distinct: DataFrame, similarity: float, part: int = PART, elements:
     those of paragraphs that share a band are looked up.
     """
     dealt = distinct.select("digest", F.explode("bands").alias("band"))
-    sizes = dealt.groupBy(F.col("band").alias("_band")).agg(F.count("*").alias("n")).filter("n > 1")
+    # Bands with the same members, as those of near copies mostly are, are one group: told by the
+    # number of members and two sums over hashes of them.
+    own = [F.bit_xor(F.xxhash64("digest")).alias("x"), F.sum(F.hash("digest").cast("bigint")).alias("s")]
+    sizes = dealt.groupBy(F.col("band").alias("_band")).agg(F.count("*").alias("n"), *own).filter("n > 1")
+    sizes = sizes.groupBy("n", "x", "s").agg(F.min("_band").alias("_band")).select("_band", "n")
     crowded = dealt.join(stage(sizes, "bands"), F.col("band") == F.col("_band"))
     parts = F.ceil(F.col("n") / part)
     own = F.pmod(F.xxhash64("digest", "band"), parts)
