@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from html.entities import html5
 from zlib import crc32
 
@@ -20,15 +21,30 @@ REPLACEMENT = "\ufffd"
 
 # A control character that no page text holds; drop_hidden removes it.
 MARK = "\u0001"
-_HIDDEN = r"(?i)<(?:!--(?s:.*?)(?:-->|\z)|script\b(?s:.*?)</script\s*>|style\b(?s:.*?)</style\s*>)"
+_HIDDEN = r"(?i)<(?:!--(?:[^-]+|-(?!->))*+(?:-->)?|script\b(?s:.*?)</script\s*>|style\b(?s:.*?)</style\s*>)"
 ANY_TAG = r"""</?[A-Za-z](?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, inside functions of arrays as well."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def strip_text(text: Column) -> Column:
     """Drop white space of any kind from both ends."""
     return F.btrim(text, F.lit(SPACES))
 
 
+def _strip_once(text: Column) -> Column:
+    """The same; mostly what is left without blanks has no other white space at its ends, which is quickly seen."""
+
+    def ends(bare: Column) -> Column:
+        inked = F.left(bare, F.lit(1)).between("!", "~") & F.right(bare, F.lit(1)).between("!", "~")
+        return F.when(inked, bare).otherwise(strip_text(bare))
+
+    return _let(F.trim(text), ends)
+
+
 def trim_spaces(text: Column) -> Column:
     """Drop blanks only: a tab at the end stays."""
     return F.trim(text)
@@ -47,11 +63,16 @@ def resolve_url(base: str, href: Column) -> Column:
 
 def _code_point(digits: Column, base: int) -> Column:
     """The character with this number; U+FFFD if there is none."""
-    bare = F.regexp_replace(digits, "^0+", "")
-    number = F.when(F.length(bare) <= 7, F.conv(bare, base, 10).cast("bigint"))
-    real = (number > 0) & (number <= 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
-    hexed = F.lpad(F.hex(F.when(real, number).otherwise(ord(REPLACEMENT))), 8, "0")
-    return F.decode(F.unhex(hexed), "UTF-32")
+
+    def character(number: Column) -> Column:
+        real = (number > 0) & (number <= 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
+        hexed = F.lpad(F.hex(F.when(real, number).otherwise(ord(REPLACEMENT))), 8, "0")
+        return F.decode(F.unhex(hexed), "UTF-32")
+
+    def number(bare: Column) -> Column:
+        return F.when(F.length(bare) <= 7, F.conv(bare, base, 10).cast("bigint"))
+
+    return _let(_let(F.regexp_replace(digits, "^0+", ""), number), character)
 
 
 _CLOSED = r"^&([A-Za-z][A-Za-z0-9]*;)"
@@ -75,36 +96,56 @@ def _lookup(names: dict[str, str], name: Column) -> Column:
 
 def _decode_piece(piece: Column) -> Column:
     """One piece of text that holds at most one reference, at its start."""
-    closed, legacy, dec, hexa = (F.regexp_extract(piece, p, 1) for p in (_CLOSED, _LEGACY, _DECIMAL, _HEXADECIMAL))
-    named = _lookup(REFERENCES, closed)
-    numbered = (
-        F.when(dec != "", F.concat(_code_point(dec, 10), F.regexp_replace(piece, _DECIMAL, "")))
-        .when(hexa != "", F.concat(_code_point(hexa, 16), F.regexp_replace(piece, _HEXADECIMAL, "")))
-        .otherwise(piece)
-    )
+
+    def first(pattern: str, use: Callable[[Column], Column]) -> Column:
+        return _let(F.regexp_extract(piece, pattern, 1), use)
+
+    def hexadecimal(digits: Column) -> Column:
+        return F.when(digits != "", F.concat(_code_point(digits, 16), F.regexp_replace(piece, _HEXADECIMAL, ""))).otherwise(piece)
+
+    def decimal(digits: Column) -> Column:
+        found = F.concat(_code_point(digits, 10), F.regexp_replace(piece, _DECIMAL, ""))
+        return F.when(digits != "", found).otherwise(first(_HEXADECIMAL, hexadecimal))
+
+    def legacy(name: Column) -> Column:
+        found = F.concat(_lookup(LEGACY_REFERENCES, name), F.substr(piece, F.length(name) + 2))
+        return F.when(name != "", found).otherwise(piece)
+
+    def closed(name: Column) -> Column:
+        def known(text: Column) -> Column:
+            found = F.concat(text, F.substr(piece, F.length(name) + 2))
+            return F.when(text.isNotNull(), found).otherwise(first(_LEGACY, legacy))
+
+        return _let(_lookup(REFERENCES, name), known)
+
     return (
         F.when(~piece.startswith("&"), piece)
-        .when(piece.startswith("&#"), numbered)
-        .when(named.isNotNull(), F.concat(named, F.substr(piece, F.length(closed) + 2)))
-        .when(legacy != "", F.concat(_lookup(LEGACY_REFERENCES, legacy), F.substr(piece, F.length(legacy) + 2)))
-        .otherwise(piece)
+        .when(piece.startswith("&#"), first(_DECIMAL, decimal))
+        .otherwise(first(_CLOSED, closed))
     )
 
 
 def decode_references(text: Column) -> Column:
     """Replace character references, each one once."""
     pieces = F.transform(F.split(text, "(?=&)"), _decode_piece)
-    return F.when(text.contains("&"), F.array_join(pieces, "")).otherwise(text)
+    # Mostly there is none, or all are the one that links are full of.
+    plain = ~text.rlike("&(?!amp;)")
+    return (
+        F.when(~text.contains("&"), text)
+        .when(plain, F.replace(text, F.lit("&amp;"), F.lit("&")))
+        .otherwise(F.array_join(pieces, ""))
+    )
 
 
 def drop_hidden(html: Column) -> Column:
     """Remove comments, scripts, styles and the mark character: none is page text."""
-    return F.regexp_replace(F.replace(html, F.lit(MARK), F.lit("")), _HIDDEN, "")
+    unmarked = F.when(html.contains(MARK), F.replace(html, F.lit(MARK), F.lit(""))).otherwise(html)
+    return F.regexp_replace(unmarked, _HIDDEN, "")
 
 
 def element_text(inner: Column) -> Column:
     """Visible text: every text piece between tags is stripped, then joined."""
     pieces = F.split(F.regexp_replace(inner, ANY_TAG, MARK), MARK)
-    joined = F.array_join(F.transform(pieces, lambda p: strip_text(decode_references(p))), "")
+    joined = F.array_join(F.transform(pieces, lambda p: _strip_once(decode_references(p))), "")
     # Most fields have no tags inside.
-    return F.when(inner.contains("<"), joined).otherwise(strip_text(decode_references(inner)))
+    return F.when(inner.contains("<"), joined).otherwise(_strip_once(decode_references(inner)))

@@ -11,12 +11,13 @@ from pyspark.sql import functions as F
 from tagledger.functions.markup import (
     TagRule,
     attribute,
-    cut_at_tags,
-    first_element,
-    from_first,
+    element_here,
     inner_html,
+    near_element,
+    plain_element,
     split_at_starts,
     starts_with_tag,
+    whole_element,
 )
 from tagledger.functions.money import mrp_from_discount, parse_discount, parse_price, parse_rating
 from tagledger.functions.text import decode_references, drop_hidden, element_text, resolve_url
@@ -38,13 +39,13 @@ class CardRules:
     rating: TagRule = field(default=TagRule("span", "sm-rating"))
 
 
-def _only(df: DataFrame, condition: Callable[[Column], Column]) -> DataFrame:
+def _only(df: DataFrame, condition: Callable[[DataFrame], Column]) -> DataFrame:
     """Rows of ``df`` that fulfil ``condition``, tested on columns already computed.
 
     A plain filter would be moved below the projections and there compute the
     same text functions a second time.
     """
-    return df.select(F.inline(F.filter(F.array(F.struct(*df.columns)), condition)))
+    return df.select("*", F.explode(F.when(condition(df), F.array(F.lit(True)))).alias("_one")).drop("_one")
 
 
 def extract_cards(
@@ -73,12 +74,11 @@ def extract_cards(
         segments = segments.filter(F.col(marker) | starts_with_tag(F.col("_segment"), rules.card))
         keep = [*keep, marker]
     # Each step is a projection of its own: a column used twice is computed once.
-    cut = segments.select(*keep, cut_at_tags(F.col("_segment"), rules.card.tag).alias("_pieces"))
-    cards = cut.select(*keep, first_element(F.col("_pieces")).alias("_card"))
+    plain = segments.select(*keep, "_segment", plain_element(F.col("_segment"), rules.card.tag).alias("_plain"))
+    cards = plain.select(*keep, element_here(F.col("_plain"), F.col("_segment"), rules.card.tag).alias("_card"))
     fields = {"name": rules.name, "price": rules.price, "discount": rules.discount, "rating": rules.rating}
-    tails = cards.select(*keep, *[from_first(F.col("_card"), r).alias(n) for n, r in fields.items()])
-    pieces = tails.select(*keep, *[cut_at_tags(F.col(n), r.tag).alias(n) for n, r in fields.items()])
-    elements = pieces.select(*keep, *[first_element(F.col(n)).alias(n) for n in fields])
+    near = cards.select(*keep, "_card", *[near_element(F.col("_card"), r).alias(n) for n, r in fields.items()])
+    elements = near.select(*keep, *[whole_element(F.col(n), F.col("_card"), r).alias(n) for n, r in fields.items()])
     texts = elements.select(
         *keep,
         (F.col("name") != "").alias("_named"),
@@ -112,7 +112,7 @@ def card_records(cards: DataFrame, keep: Sequence[str] = (), marker: str | None
         parse_rating(F.col("rating_text")).alias("rating"),
     )
 
-    def complete(card: Column) -> Column:
+    def complete(card: DataFrame) -> Column:
         full = (F.length(card["product_name"]) > 0) & (F.coalesce(card["current_price"], F.lit(0.0)) != 0)
         return full if marker is None else full | card[marker]
 

@@ -92,3 +92,10 @@ def test_strip_takes_every_white_space(values):
     spaces = [c for c in map(chr, range(0x110000)) if c.isspace()]
     assert sorted(text.SPACES) == sorted(spaces)
     assert values(text.strip_text, [f"{c}a{c}b{c}" for c in spaces]) == [f"a{c}b" for c in spaces]
+
+
+def test_references_of_each_kind(values):
+    texts = ["a?b=1&amp;c&amp;d", "&amp;amp;", "&amp;&lt;x", "&#8377;5", "&#0008377 5", "&#x20B9;5", "&#0;", "&#99999999;", "&ampx", "&bogus;", "a&", "&#;", None]
+    expected = ["a?b=1&c&d", "&amp;", "&<x", "₹5", "₹ 5", "₹5", "\ufffd", "\ufffd", "&x", "&bogus;", "a&", "&#;", None]
+    assert values(text.decode_references, texts) == expected
+    assert values(text.element_text, ["\u3000x \t", " é ", "<i>&#8377;</i> 5 ", " ", None]) == ["x", "é", "₹5", "", None]

@@ -1,7 +1,17 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tagledger.functions.markup import TagRule, starts_with_tag
+from tagledger.functions.markup import (
+    TagRule,
+    cut_at_tags,
+    element_here,
+    first_element,
+    from_first,
+    near_element,
+    plain_element,
+    starts_with_tag,
+    whole_element,
+)
 from tagledger.plans.pages import pages_to_bronze, read_listings
 from tagledger.sources.pages import CardRules, card_records, cut_pages, extract_cards
 
@@ -134,3 +144,40 @@ def test_nothing_behind_an_empty_page_is_parsed(spark):
         ("gap", 1): 1, ("gap", 3): 2, (None, 1): 1, (None, 2): 0,
     }
     assert read.records.count() == sum(parsed.values())
+
+
+def test_elements_in_one_pass_are_those_found_by_counting(spark):
+    texts = [
+        card(),
+        "<div><div>a</div><div>b</div></div>c",
+        "<div><div><div>a</div></div></div>b",
+        "<div><div>never closed</div>",
+        "<div><span class='price'>1</span >",
+        "<div><span class='price'><span>1</span></span>2",
+        "<div><span class='price'>1</spanx",
+        "<div><span class='price' title='</span>'>1</span>",
+        "<div><b title=\"<span class='price'>\">1</span>",
+        "<div><span class='x price y' id=1\n>1</SPAN\t></div>",
+        "<div><span>1</span>",
+        "<div>",
+        None,
+    ]
+    near, plain = near_element(F.col("t"), RULES.price), plain_element(F.col("t"), "div")
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", near.alias("near"), plain.alias("plain"))
+    counted = first_element(cut_at_tags(from_first(F.col("t"), RULES.price), "span"))
+    found = df.select(
+        whole_element(F.col("near"), F.col("t"), RULES.price).alias("element"),
+        counted.alias("element_counted"),
+        element_here(F.col("plain"), F.col("t"), "div").alias("card"),
+        first_element(cut_at_tags(F.col("t"), "div")).alias("card_counted"),
+        "plain",
+    ).collect()
+    assert [r["element"] for r in found] == [r["element_counted"] for r in found]
+    assert [r["card"] for r in found] == [r["card_counted"] for r in found]
+    assert [r["plain"] != "" for r in found[:4]] == [True, True, False, False]
+
+
+def test_rows_without_a_card_are_dropped_without_copying_the_others(spark):
+    pages = spark.createDataFrame([(card(),)], "html string")
+    plan = card_records(extract_cards(pages, RULES))._jdf.queryExecution().optimizedPlan().toString()
+    assert "inline(" not in plan and "size(" not in plan
