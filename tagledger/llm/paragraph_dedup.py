@@ -83,12 +83,21 @@ def spans(text: str, pattern: re.Pattern) -> Iterator[tuple[int, int]]:
         yield start, len(text)
 
 
+def word_hashes(words: list[str]) -> np.ndarray:
+    """Hashes of words in UTF-8."""
+    try:
+        return np.fromiter(map(_digest, words), np.uint64, len(words))
+    except UnicodeEncodeError:
+        whole = "\n".join(words).encode("utf-8", "surrogatepass")
+        return np.fromiter(map(_digest, whole.split(b"\n")), np.uint64, len(words))
+
+
 def word_shingles(text: str) -> np.ndarray:
     """64-bit hashes of the runs of words, by the number of their first word."""
-    words = "\n".join(text.lower().split()).encode("utf-8", "surrogatepass").split(b"\n")
-    own = np.fromiter(map(_digest, words), np.uint64, len(words))
-    if len(own) < SHINGLE:
+    words = text.lower().split()
+    if len(words) < SHINGLE:
         return np.empty(0, np.int64)
+    own = word_hashes(words)
     count = len(own) - SHINGLE + 1
     mixed = np.zeros(count, np.uint64)
     for i in range(SHINGLE):
@@ -101,16 +110,29 @@ def anchors(hashes: np.ndarray, window: int) -> np.ndarray:
     """Place of the least hash of every window; equal windows have it at the same place."""
     if len(hashes) < window:
         return np.empty(0, np.int64)
-    return np.lib.stride_tricks.sliding_window_view(hashes, window).argmin(axis=1) + np.arange(len(hashes) - window + 1)
+    # Windows of twice the size are made of two; of equal hashes the first counts.
+    least, at, size = hashes, np.arange(len(hashes)), 1
+    while size < window:
+        step = min(size, window - size)
+        later = least[step:] < least[:-step]
+        at = np.where(later, at[step:], at[:-step])
+        least = np.minimum(least[step:], least[:-step])
+        size += step
+    return at
 
 
 def near(chosen: np.ndarray, places: np.ndarray, window: int, least: int) -> np.ndarray:
     """Places in stretches of ``least`` shingles or more whose windows all have one of the places as anchor."""
-    known = np.concatenate([[False], np.isin(chosen, places), [False]]).astype(np.int8)
+    wanted = np.zeros(max(chosen.max(initial=-1), places.max(initial=-1)) + 1, bool)
+    wanted[places] = True
+    known = np.concatenate([[False], wanted[chosen], [False]]).astype(np.int8)
     first, last = np.flatnonzero(np.diff(known) == 1), np.flatnonzero(np.diff(known) == -1)
     long = last - first + window - 1 >= least
-    parts = [np.arange(a, b + window - 1) for a, b in zip(first[long], last[long])]
-    return distinct_values(np.concatenate([np.empty(0, np.int64), *parts]))
+    # Stretches may overlap: one more from each beginning on, one less behind each end.
+    change = np.zeros(len(chosen) + window, np.int64)
+    change[first[long]] += 1
+    change[last[long] + window - 1] -= 1
+    return np.flatnonzero(np.cumsum(change))
 
 
 def distinct_values(values: np.ndarray) -> np.ndarray:
@@ -121,19 +143,24 @@ def distinct_values(values: np.ndarray) -> np.ndarray:
     return ordered[fresh]
 
 
-def shingles(lines: list[list[bytes]]) -> list[np.ndarray]:
+def shingles(lines: list[list[str]]) -> list[np.ndarray]:
     """Distinct 32-bit hashes of runs of words, line by line."""
-    own = np.fromiter(map(_digest, chain.from_iterable(lines)), np.uint64)
+    own = word_hashes(list(chain.from_iterable(lines)))
     count = max(0, len(own) - SHINGLE + 1)
     mixed = np.zeros(count, np.uint64)
     for i in range(SHINGLE):
         mixed += own[i : i + count] * _ODD[i]
+
+    def upper(part: np.ndarray) -> np.ndarray:
+        return ((part ^ part >> np.uint64(31)) * _ODD[0] >> np.uint64(32)).astype(np.uint32)
+
+    whole = upper(mixed)
     at, out = 0, []
     for line in lines:
         size = len(line)
         # A shorter line is one run of all its words.
-        part = mixed[at : at + size - SHINGLE + 1] if size >= SHINGLE else (own[at : at + size] * _ODD[:size]).sum(keepdims=True)
-        out.append(distinct_values(((part ^ part >> np.uint64(31)) * _ODD[0] >> np.uint64(32)).astype(np.uint32)))
+        part = whole[at : at + size - SHINGLE + 1] if size >= SHINGLE else upper((own[at : at + size] * _ODD[:size]).sum(keepdims=True))
+        out.append(distinct_values(part))
         at += size
     return out
 
@@ -176,7 +203,7 @@ def line_units(text: str | None, min_words: int) -> list[dict]:
         words = text[start:stop].lower().split()
         if len(words) >= min_words:
             places.append((first, first + len(words)))
-            held.append("\n".join(words).encode("utf-8", "surrogatepass").split(b"\n"))
+            held.append(words)
             size += len(words)
             if size > _WORDS_HELD:
                 close()
@@ -295,18 +322,19 @@ def copies(keyed: DataFrame, copied: DataFrame, min_words: int) -> DataFrame:
     keyed = keyed.withColumn("_own", _text_key())
     found = lookup_join(keyed, copied, F.col("_own") == F.col("_key"), "inner")
     words = F.size(F.regexp_extract_all("text", F.lit(r"(\S+)"), F.lit(1)))
-    kept = F.col("doc_id").eqNullSafe(F.col("_first"))
-    rows = found.select(
+    # An aggregate, so that words are counted once; rows equal in id and text become one.
+    counted = found.groupBy("doc_id", "tie", "_key", "_first").agg(F.max(words).alias("n_words"))
+    rows = counted.filter(F.col("n_words") >= min_words).select(
         "doc_id",
         "tie",
         F.lit(0).alias("start"),
-        words.alias("stop"),
-        words.alias("n_words"),
+        F.col("n_words").alias("stop"),
+        "n_words",
         F.col("_first").alias("kept_doc_id"),
         F.xxhash64("_key").alias("component_id"),
-        kept.alias("kept"),
+        F.col("doc_id").eqNullSafe(F.col("_first")).alias("kept"),
     )
-    rows = rows.filter(F.col("n_words") >= min_words).distinct()
+    rows = rows.distinct()
     # Rows equal in id and text are one document and no copies.
     twice = rows.filter("not kept").select(F.col("component_id").alias("_repeated")).distinct()
     return lookup_join(rows, twice, F.col("component_id") == F.col("_repeated"), "left_semi")
@@ -346,19 +374,26 @@ def _shingle_rows(near_too: bool, window: int, least: int):
 
 
 def _unit_batch(ids: pa.Array, ties: pa.Array, flat: list[dict]) -> pa.RecordBatch:
-    """Units as a batch, built column by column.  Equal units are hashed once."""
-    place = {u["digest"]: n for n, u in enumerate(flat)}
-    known = bands([flat[n]["elements"] for n in place.values()], [flat[n]["kind"] for n in place.values()])
-    row = {digest: n for n, digest in enumerate(place)}
-    hashed = known[np.array([row[u["digest"]] for u in flat], np.int64)].ravel()
-    elements = np.concatenate([np.empty(0, np.uint32), *[u["elements"] for u in flat]]).view(np.int32)
+    """Units as a batch, built column by column.  Of equal units one has the bands and the elements, the others null."""
+    place: dict[int, int] = {}
+    for n, u in enumerate(flat):
+        place.setdefault(u["digest"], n)
+    sets = [flat[n]["elements"] for n in place.values()]
+    hashed = bands(sets, [flat[n]["kind"] for n in place.values()]).ravel()
+    elements = np.concatenate([np.empty(0, np.uint32), *sets]).view(np.int32)
+    repeated = np.ones(len(flat), bool)
+    repeated[list(place.values())] = False
 
     def nested(sizes: list[int], values: np.ndarray) -> pa.Array:
-        return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes]).astype(np.int32)), pa.array(values))
+        lengths = np.zeros(len(flat), np.int64)
+        lengths[list(place.values())] = sizes
+        # The values stand in the order of the rows that have some.
+        ends = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(values), mask=pa.array(repeated))
 
     columns = [ids, ties, *[pa.array([u[n] for u in flat], pa.int32()) for n in ("kind", "start", "stop", "words")]]
-    columns += [pa.array([u["digest"] for u in flat], pa.int64()), nested([BANDS] * len(flat), hashed)]
-    columns.append(nested([len(u["elements"]) for u in flat], elements))
+    columns += [pa.array([u["digest"] for u in flat], pa.int64()), nested([BANDS] * len(sets), hashed)]
+    columns.append(nested(list(map(len, sets)), elements))
     return pa.record_batch(columns, names=["doc_id", "tie", "kind", "start", "stop", "words", "digest", "bands", "elements"])
 
 
@@ -419,7 +454,10 @@ def _run_rows(min_words: int, similarity: float):
 
 
 def units(docs: DataFrame, min_words: int, similarity: float = SIMILARITY) -> DataFrame:
-    """Occurrences of paragraphs of distinct texts: (doc_id, tie, kind, start, stop, words, digest, bands, elements)."""
+    """Occurrences of paragraphs of distinct texts: (doc_id, tie, kind, start, stop, words, digest, bands, elements).
+
+    Bands and elements may be null where other rows of the digest have them.
+    """
     kind = dict(docs.dtypes)["doc_id"]
     least = max(1, min_words - SHINGLE + 1)
     window = min(WINDOW, least)
@@ -509,7 +547,7 @@ def _group_links(similarity: float):
 def similar(distinct: DataFrame, similarity: float, part: int = PART, elements: DataFrame | None = None) -> DataFrame:
     """(a, b): links between distinct paragraphs (digest, bands, elements).
 
-    ``elements`` may come from a table (digest, elements) of its own, with repeated rows: only
+    ``elements`` may come from a table (digest, elements) of its own, with repeated rows, some of them null: only
     those of paragraphs that share a band are looked up.
     """
     dealt = distinct.select("digest", F.explode("bands").alias("band"))
@@ -528,7 +566,7 @@ def similar(distinct: DataFrame, similarity: float, part: int = PART, elements:
     groups = crowded.withColumn("_own", own).select(F.col("digest").alias("_digest"), "band", F.inline(others))
     groups = stage(groups, "band-groups")
     wanted = groups.select(F.col("_digest").alias("_wanted")).distinct()
-    known = (distinct if elements is None else elements).select("digest", "elements")
+    known = (distinct if elements is None else elements).select("digest", "elements").filter("elements is not null")
     known = known.join(wanted, F.col("digest") == F.col("_wanted"), "left_semi").dropDuplicates(["digest"])
     full = groups.join(known, F.col("_digest") == F.col("digest"))
     full = full.select("band", "low", "high", "digest", "elements")
@@ -549,7 +587,7 @@ def repeated_passages(
     copied = copied_texts(docs)
     found = units(distinct_texts(keyed, copied), min_words, similarity)
     places = found.select("doc_id", "tie", "start", "stop", "words", "digest").distinct()
-    signed = stage(found.groupBy("digest").agg(F.first("bands").alias("bands")), "passages-signed")
+    signed = stage(found.groupBy("digest").agg(F.first("bands", ignorenulls=True).alias("bands")), "passages-signed")
     links = stage(similar(signed, similarity, elements=found), "passages-links")
     release(signed)
     roots = components(links)

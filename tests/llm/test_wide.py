@@ -370,3 +370,33 @@ def test_every_query_is_registered(spark):
     assert set(QUERIES) | {"pipeline"} <= names
     assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, len(QUERIES) + 1))
     assert table(spark, SMALL, "pages").count() == QUERIES["op6_html"](spark, SMALL).count()
+
+
+def test_anchors_and_stretches_against_every_window():
+    draw = np.random.default_rng(3)
+    for _ in range(200):
+        hashes, window, least = draw.integers(0, 6, draw.integers(0, 60)), int(draw.integers(1, 25)), int(draw.integers(1, 45))
+        starts = range(max(0, len(hashes) - window + 1))
+        chosen = paragraph_dedup.anchors(hashes, window)
+        assert chosen.tolist() == [i + int(hashes[i : i + window].argmin()) for i in starts]
+        places = np.unique(draw.choice(chosen, 3)) if len(chosen) else chosen
+        known, expected = [c in places for c in chosen], set()
+        for first in starts:
+            last = first
+            while last < len(known) and known[last]:
+                last += 1
+            if last > first and (first == 0 or not known[first - 1]) and last - first + window - 1 >= least:
+                expected.update(range(first, last + window - 1))
+        assert paragraph_dedup.near(chosen, places, window, least).tolist() == sorted(expected)
+
+
+def test_equal_paragraphs_of_a_batch_hold_their_elements_once(spark):
+    line = " ".join(f"w{i}" for i in range(50))
+    docs = spark.createDataFrame([(i, 0, f"{line}\nown {i}") for i in range(6)], "doc_id bigint, tie bigint, text string").coalesce(1)
+    rows = paragraph_dedup.units(docs, 40).filter(f"kind = {paragraph_dedup.LINE}").collect()
+    assert len(rows) == 6 and len({r["digest"] for r in rows}) == 1
+    (full,) = [r for r in rows if r["elements"] is not None]
+    assert len(full["elements"]) == 46 and len(full["bands"]) == paragraph_dedup.BANDS
+    assert sum(r["bands"] is None for r in rows) == 5
+    found = paragraph_dedup.repeated_passages(docs.select("doc_id", "text")).collect()
+    assert {r["doc_id"] for r in found if not r["kept"]} == {1, 2, 3, 4, 5}
