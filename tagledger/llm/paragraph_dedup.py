@@ -54,15 +54,13 @@ BANDS = 9
 ROWS = 3
 PART = 1_000  # members of a band group that are compared in one go
 _SLICE = 2_048  # elements that are permuted at once
-_WORDS_HELD = 20_000  # words of a text whose shingles are made at once, and the line they end in
 
-_LINES = re.compile(r"\n+")
 _WORD = re.compile(r"\S+")
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 _PERMUTE = np.random.default_rng(11).integers(1, 2**63, (2, BANDS * ROWS), np.uint64) | np.uint64(1)
 _digest = xxhash.xxh3_64_intdigest
 
-LINE, RUN = 0, 1
+LINE, RUN, ANCHORS = 0, 1, 2
 _SHINGLES = "doc_id {kind}, tie bigint, at int, shingle bigint"
 _ROWS_OUT = 65_536  # rows of a batch of shingles, and the text they end in
 _HELD = 400_000  # elements of units that are sent on at once
@@ -73,16 +71,6 @@ def _signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def spans(text: str, pattern: re.Pattern) -> Iterator[tuple[int, int]]:
-    """The parts of a text between matches, each with the match behind it."""
-    start = 0
-    for match in pattern.finditer(text):
-        yield start, match.end()
-        start = match.end()
-    if start < len(text):
-        yield start, len(text)
-
-
 def word_hashes(words: list[str]) -> np.ndarray:
     """Hashes of words in UTF-8."""
     try:
@@ -92,20 +80,25 @@ def word_hashes(words: list[str]) -> np.ndarray:
         return np.fromiter(map(_digest, whole.split(b"\n")), np.uint64, len(words))
 
 
-def word_shingles(text: str) -> np.ndarray:
-    """64-bit hashes of the runs of words, by the number of their first word."""
-    words = text.lower().split()
-    if len(words) < SHINGLE:
-        return np.empty(0, np.int64)
-    own = word_hashes(words)
-    count = len(own) - SHINGLE + 1
+def _mixed(own: np.ndarray) -> np.ndarray:
+    """Hashes of the runs of words, by the number of their first word; the upper half is an element of a line."""
+    count = max(0, len(own) - SHINGLE + 1)
     mixed = np.zeros(count, np.uint64)
     for i in range(SHINGLE):
         mixed += own[i : i + count] * _ODD[i]
-    mixed = (mixed ^ mixed >> np.uint64(31)) * _ODD[0]
+    return (mixed ^ mixed >> np.uint64(31)) * _ODD[0]
+
+
+def _spread(mixed: np.ndarray) -> np.ndarray:
+    """64-bit hashes of which all bits depend on all words."""
     return (mixed ^ mixed >> np.uint64(29)).view(np.int64)
 
 
+def word_shingles(text: str) -> np.ndarray:
+    """64-bit hashes of the runs of words, by the number of their first word."""
+    return _spread(_mixed(word_hashes(text.lower().split())))
+
+
 def anchors(hashes: np.ndarray, window: int) -> np.ndarray:
     """Place of the least hash of every window; equal windows have it at the same place."""
     if len(hashes) < window:
@@ -143,26 +136,23 @@ def distinct_values(values: np.ndarray) -> np.ndarray:
     return ordered[fresh]
 
 
+def _upper(mixed: np.ndarray) -> np.ndarray:
+    return (mixed >> np.uint64(32)).astype(np.uint32)
+
+
+def _line_set(own: np.ndarray, whole: np.ndarray, at: int, size: int) -> np.ndarray:
+    """Elements of a line of so many words from this one on; a line shorter than a run is one run of all its words."""
+    if size >= SHINGLE:
+        return distinct_values(whole[at : at + size - SHINGLE + 1])
+    short = (own[at : at + size] * _ODD[:size]).sum(keepdims=True)
+    return _upper((short ^ short >> np.uint64(31)) * _ODD[0])
+
+
 def shingles(lines: list[list[str]]) -> list[np.ndarray]:
     """Distinct 32-bit hashes of runs of words, line by line."""
     own = word_hashes(list(chain.from_iterable(lines)))
-    count = max(0, len(own) - SHINGLE + 1)
-    mixed = np.zeros(count, np.uint64)
-    for i in range(SHINGLE):
-        mixed += own[i : i + count] * _ODD[i]
-
-    def upper(part: np.ndarray) -> np.ndarray:
-        return ((part ^ part >> np.uint64(31)) * _ODD[0] >> np.uint64(32)).astype(np.uint32)
-
-    whole = upper(mixed)
-    at, out = 0, []
-    for line in lines:
-        size = len(line)
-        # A shorter line is one run of all its words.
-        part = whole[at : at + size - SHINGLE + 1] if size >= SHINGLE else upper((own[at : at + size] * _ODD[:size]).sum(keepdims=True))
-        out.append(distinct_values(part))
-        at += size
-    return out
+    whole, ends = _upper(_mixed(own)), np.cumsum([0, *map(len, lines)]).tolist()
+    return [_line_set(own, whole, at, len(line)) for at, line in zip(ends, lines)]
 
 
 def bands(lists: list[np.ndarray], kinds: list[int]) -> np.ndarray:
@@ -189,28 +179,17 @@ def unit(kind: int, start: int, stop: int, words: int, elements: np.ndarray) ->
     return {"kind": kind, "start": start, "stop": stop, "words": words, "digest": digest, "elements": elements}
 
 
-def line_units(text: str | None, min_words: int) -> list[dict]:
-    out, places, held, size = [], [], [], 0
-
-    def close():
-        sets = shingles(held)
-        out.extend(unit(LINE, *place, len(words), own) for place, words, own in zip(places, held, sets))
-        places.clear()
-        held.clear()
-
-    first = 0
-    for start, stop in spans(text or "", _LINES):
-        words = text[start:stop].lower().split()
-        if len(words) >= min_words:
-            places.append((first, first + len(words)))
-            held.append(words)
-            size += len(words)
-            if size > _WORDS_HELD:
-                close()
-                size = 0
-        first += len(words)
-    close()
-    return out
+def text_parts(text: str, min_words: int) -> tuple[np.ndarray, list[dict]]:
+    """Shingles of the whole text, and its lines as units; words are split and hashed once for both."""
+    lines = [line.split() for line in text.lower().split("\n")]
+    own = word_hashes(list(chain.from_iterable(lines)))
+    mixed = _mixed(own)
+    whole, at, out = _upper(mixed), 0, []
+    for size in map(len, lines):
+        if size >= min_words:
+            out.append(unit(LINE, at, at + size, size, _line_set(own, whole, at, size)))
+        at += size
+    return _spread(mixed), out
 
 
 def levels(counts: np.ndarray, least: int, similarity: float) -> list[tuple[int, int]]:
@@ -292,16 +271,21 @@ def _text_key() -> Column:
     return F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)
 
 
-def copied_texts(docs: DataFrame) -> DataFrame:
-    """Texts of more than one row: (text_key, first), first the least document that has the text."""
+def text_keys(keyed: DataFrame) -> DataFrame:
+    """(doc_id, tie, _own): what tells the texts of all rows apart, computed once."""
+    return stage(keyed.select("doc_id", "tie", _text_key().alias("_own")), "text-keys")
+
+
+def copied_texts(keys: DataFrame) -> DataFrame:
+    """Texts of more than one row: (_key, _first), first the least document that has the text."""
     order = F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id")
-    grouped = docs.select("doc_id", _text_key().alias("_key")).groupBy("_key")
+    grouped = keys.groupBy(F.col("_own").alias("_key"))
     many = grouped.agg(F.min(order).alias("_first"), F.count("*").alias("_n")).filter("_n > 1")
     return stage(many.select("_key", F.col("_first.doc_id").alias("_first")), "copied-texts")
 
 
-def distinct_texts(keyed: DataFrame, copied: DataFrame) -> DataFrame:
-    """(doc_id, tie, text), one row per text, that of its first document.
+def distinct_texts(keyed: DataFrame, copied: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, tie, text), one row per text, that of its first document; and (_key, n_words) of the copied texts.
 
     Only texts that occur more than once are brought together, one row of each per task.
     """
@@ -311,20 +295,23 @@ def distinct_texts(keyed: DataFrame, copied: DataFrame) -> DataFrame:
     single = keyed.join(several, F.col("_own") == F.col("_key"), "left_anti").select("doc_id", "tie", "text")
     merged = keyed.join(several, F.col("_own") == F.col("_key")).groupBy("_own")
     merged = merged.agg(F.first("_first").alias("doc_id"), F.first("tie").alias("tie"), F.first("text").alias("text"))
+    words = F.size(F.regexp_extract_all("text", F.lit(r"(\S+)"), F.lit(1)))
     # Without a broadcast the texts are shuffled, which is done once only.
-    merged = stage(merged.select("doc_id", "tie", "text"), "copied-once")
-    out = single.unionByName(merged)
-    return out if small else stage(out, "texts")
+    merged = stage(merged.withColumn("n_words", words), "copied-once")
+    out = single.unionByName(merged.select("doc_id", "tie", "text"))
+    return out if small else stage(out, "texts"), merged.select(F.col("_own").alias("_key"), "n_words")
 
 
-def copies(keyed: DataFrame, copied: DataFrame, min_words: int) -> DataFrame:
-    """Whole texts that occur in several documents, as occurrences like those of passages."""
-    keyed = keyed.withColumn("_own", _text_key())
-    found = lookup_join(keyed, copied, F.col("_own") == F.col("_key"), "inner")
-    words = F.size(F.regexp_extract_all("text", F.lit(r"(\S+)"), F.lit(1)))
-    # An aggregate, so that words are counted once; rows equal in id and text become one.
-    counted = found.groupBy("doc_id", "tie", "_key", "_first").agg(F.max(words).alias("n_words"))
-    rows = counted.filter(F.col("n_words") >= min_words).select(
+def copies(keys: DataFrame, copied: DataFrame, counted: DataFrame, min_words: int) -> DataFrame:
+    """Whole texts that occur in several documents, as occurrences like those of passages.
+
+    The texts are not read again: rows come by their keys, words were counted once for each text.
+    """
+    sized = counted.filter(F.col("n_words") >= min_words).withColumnRenamed("_key", "_sized")
+    wanted = copied.join(sized, F.col("_key") == F.col("_sized")).drop("_sized")
+    found = lookup_join(keys, stage(wanted, "copied-long"), F.col("_own") == F.col("_key"), "inner")
+    # Rows equal in id and text are one document.
+    rows = found.select(
         "doc_id",
         "tie",
         F.lit(0).alias("start"),
@@ -334,14 +321,14 @@ def copies(keyed: DataFrame, copied: DataFrame, min_words: int) -> DataFrame:
         F.xxhash64("_key").alias("component_id"),
         F.col("doc_id").eqNullSafe(F.col("_first")).alias("kept"),
     )
-    rows = rows.distinct()
+    rows = stage(rows.distinct(), "copied-rows")
     # Rows equal in id and text are one document and no copies.
     twice = rows.filter("not kept").select(F.col("component_id").alias("_repeated")).distinct()
     return lookup_join(rows, twice, F.col("component_id") == F.col("_repeated"), "left_semi")
 
 
-def _shingle_rows(near_too: bool, window: int, least: int):
-    """Rows of the anchors of each text, or of all shingles near the anchors in column ``places``."""
+def _near_rows(window: int, least: int):
+    """Rows of all shingles near the anchors in column ``places``."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -355,12 +342,8 @@ def _shingle_rows(near_too: bool, window: int, least: int):
 
             for n, text in enumerate(batch.column("text")):
                 hashes = word_shingles(text.as_py() or "")
-                places = anchors(hashes, window)
-                if near_too:
-                    known = batch.column("places")[n].values.to_numpy(zero_copy_only=False)
-                    places = near(places, known, window, least)
-                else:
-                    places = distinct_values(places)
+                known = batch.column("places")[n].values.to_numpy(zero_copy_only=False)
+                places = near(anchors(hashes, window), known, window, least)
                 rows.append(np.full(len(places), n, np.int32))
                 parts.append([places.astype(np.int32), hashes[places]])
                 size += len(places)
@@ -413,12 +396,37 @@ def _batches_of_units(batch: pa.RecordBatch, made: Iterator[tuple[int, dict]]) -
         yield _unit_batch(batch.column("doc_id").take(take), batch.column("tie").take(take), flat)
 
 
-def _line_rows(min_words: int):
+def _anchor_batch(batch: pa.RecordBatch, found: list[tuple[int, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    """A row per text with anchors, shaped like units: their hashes as bands, their places as elements."""
+    take = pa.array([row for row, _, _ in found], pa.int32())
+    ends = pa.array(np.cumsum([0, *(len(places) for _, places, _ in found)]), pa.int32())
+    places = np.concatenate([np.empty(0, np.int32), *(p for _, p, _ in found)])
+    hashes = np.concatenate([np.empty(0, np.int64), *(h for _, _, h in found)])
+    zeros = [pa.array(np.zeros(len(found), np.int32))] * 3
+    columns = [batch.column("doc_id").take(take), batch.column("tie").take(take), pa.array(np.full(len(found), ANCHORS, np.int32)), *zeros]
+    columns += [pa.array(np.zeros(len(found), np.int64)), pa.ListArray.from_arrays(ends, pa.array(hashes)), pa.ListArray.from_arrays(ends, pa.array(places))]
+    return pa.record_batch(columns, names=["doc_id", "tie", "kind", "start", "stop", "words", "digest", "bands", "elements"])
+
+
+def _text_rows(min_words: int, window: int):
+    """Lines as units, and the anchors of each text, in one pass over the texts."""
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("text")
-            made = ((n, one) for n in range(len(texts)) for one in line_units(texts[n].as_py(), min_words))
-            yield from _batches_of_units(batch, made)
+            found = []
+
+            def lines() -> Iterator[tuple[int, dict]]:
+                for n, text in enumerate(batch.column("text")):
+                    hashes, own = text_parts(text.as_py() or "", min_words)
+                    places = distinct_values(anchors(hashes, window))
+                    if len(places):
+                        found.append((n, places.astype(np.int32), hashes[places]))
+                    for one in own:
+                        yield n, one
+
+            yield from _batches_of_units(batch, lines())
+            if found:
+                yield _anchor_batch(batch, found)
 
     return scan
 
@@ -464,7 +472,8 @@ def units(docs: DataFrame, min_words: int, similarity: float = SIMILARITY) -> Da
     shape = f"doc_id {kind}, tie bigint, {_UNIT_SQL}"
 
     def repeated(found: DataFrame, counts: DataFrame) -> DataFrame:
-        return found.join(counts, F.col("shingle") == F.col("_shingle")).drop("_shingle")
+        # Counts have one row per shingle; hashed, neither side is sorted, and a hot shingle's rows can still be split.
+        return found.join(counts.hint("shuffle_hash"), F.col("shingle") == F.col("_shingle")).drop("_shingle")
 
     def counted(found: DataFrame, name: str) -> DataFrame:
         counts = found.groupBy(F.col("shingle").alias("_shingle")).agg(F.count("*").alias("count"))
@@ -473,25 +482,28 @@ def units(docs: DataFrame, min_words: int, similarity: float = SIMILARITY) -> Da
         return out
 
     shingled = _SHINGLES.format(kind=kind)
-    chosen = stage(docs.mapInArrow(_shingle_rows(False, window, least), shingled), "anchor-rows")
+    parts = stage(docs.mapInArrow(_text_rows(min_words, window), shape), "text-parts")
+    chosen = parts.filter(F.col("kind") == ANCHORS).select("doc_id", "tie", F.inline(F.arrays_zip("elements", "bands")))
+    chosen = chosen.toDF("doc_id", "tie", "at", "shingle")
     anchored = counted(chosen, "anchors")
     marked = repeated(chosen, anchored).groupBy(F.col("doc_id").alias("_id"), F.col("tie").alias("_tie"))
     marked = stage(marked.agg(F.collect_set("at").alias("places")), "marked")
-    release(chosen, anchored)
+    release(anchored)
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("tie") == F.col("_tie"))
-    held = docs.join(marked, same).select("doc_id", "tie", "text", "places")
-    close = stage(held.mapInArrow(_shingle_rows(True, window, least), shingled), "near-anchors")
+    held = docs.join(marked.hint("shuffle_hash"), same).select("doc_id", "tie", "text", "places")
+    close = stage(held.mapInArrow(_near_rows(window, least), shingled), "near-anchors")
     release(marked)
     shared = counted(close, "shingles")
     # An element of a unit is the upper half of its shingle.
     element = F.shiftright("shingle", 32).cast("int").alias("element")
     count = F.least("count", F.lit(2**31 - 1)).cast("int").alias("count")
-    short = repeated(close, shared).select("doc_id", "tie", "at", element, count)
-    placed = short.repartition("doc_id", "tie").sortWithinPartitions("doc_id", "tie", "at")
-    runs = placed.mapInArrow(_run_rows(min_words, similarity), shape)
-    out = stage(runs.unionByName(docs.mapInArrow(_line_rows(min_words), shape)), "passages")
+    # Stored before they are sorted, so that the files of one shuffle are gone when those of the next are written.
+    short = stage(repeated(close, shared).select("doc_id", "tie", "at", element, count), "short")
     release(close, shared)
-    return out
+    placed = short.repartition("doc_id", "tie").sortWithinPartitions("doc_id", "tie", "at")
+    runs = stage(placed.mapInArrow(_run_rows(min_words, similarity), shape), "runs")
+    release(short)
+    return runs.unionByName(parts.filter(F.col("kind") == LINE))
 
 
 def jaccard(a: np.ndarray, b: np.ndarray) -> float:
@@ -551,12 +563,15 @@ def similar(distinct: DataFrame, similarity: float, part: int = PART, elements:
     those of paragraphs that share a band are looked up.
     """
     dealt = distinct.select("digest", F.explode("bands").alias("band"))
+    several = dealt.groupBy(F.col("band").alias("_band")).agg(F.count("*").alias("_n")).filter("_n > 1").select("_band")
+    crowded = stage(dealt.join(several, F.col("band") == F.col("_band"), "left_semi"), "crowded-bands")
+    release()
     # Bands with the same members, as those of near copies mostly are, are one group: told by the
     # number of members and two sums over hashes of them.
     own = [F.bit_xor(F.xxhash64("digest")).alias("x"), F.sum(F.hash("digest").cast("bigint")).alias("s")]
-    sizes = dealt.groupBy(F.col("band").alias("_band")).agg(F.count("*").alias("n"), *own).filter("n > 1")
+    sizes = crowded.groupBy(F.col("band").alias("_band")).agg(F.count("*").alias("n"), *own)
     sizes = sizes.groupBy("n", "x", "s").agg(F.min("_band").alias("_band")).select("_band", "n")
-    crowded = dealt.join(stage(sizes, "bands"), F.col("band") == F.col("_band"))
+    crowded = crowded.join(stage(sizes, "bands"), F.col("band") == F.col("_band"))
     parts = F.ceil(F.col("n") / part)
     own = F.pmod(F.xxhash64("digest", "band"), parts)
     others = F.transform(
@@ -565,7 +580,7 @@ def similar(distinct: DataFrame, similarity: float, part: int = PART, elements:
     )
     groups = crowded.withColumn("_own", own).select(F.col("digest").alias("_digest"), "band", F.inline(others))
     groups = stage(groups, "band-groups")
-    wanted = groups.select(F.col("_digest").alias("_wanted")).distinct()
+    wanted = groups.select(F.col("_digest").alias("_wanted")).distinct().hint("shuffle_hash")
     known = (distinct if elements is None else elements).select("digest", "elements").filter("elements is not null")
     known = known.join(wanted, F.col("digest") == F.col("_wanted"), "left_semi").dropDuplicates(["digest"])
     full = groups.join(known, F.col("_digest") == F.col("digest"))
@@ -584,8 +599,10 @@ def repeated_passages(
     """
     docs = df.select(F.col(f"`{id_}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     keyed = _keyed(docs, repeated_ids(docs))
-    copied = copied_texts(docs)
-    found = units(distinct_texts(keyed, copied), min_words, similarity)
+    keys = text_keys(keyed)
+    copied = copied_texts(keys)
+    texts, counted = distinct_texts(keyed, copied)
+    found = units(texts, min_words, similarity)
     places = found.select("doc_id", "tie", "start", "stop", "words", "digest").distinct()
     signed = stage(found.groupBy("digest").agg(F.first("bands", ignorenulls=True).alias("bands")), "passages-signed")
     links = stage(similar(signed, similarity, elements=found), "passages-links")
@@ -613,7 +630,7 @@ def repeated_passages(
         "component_id",
         "kept",
     )
-    return passages.unionByName(copies(keyed, copied, min_words))
+    return passages.unionByName(copies(keys, copied, counted, min_words))
 
 
 def cut(text: Column, spans: Column) -> Column:

@@ -400,3 +400,36 @@ def test_equal_paragraphs_of_a_batch_hold_their_elements_once(spark):
     assert sum(r["bands"] is None for r in rows) == 5
     found = paragraph_dedup.repeated_passages(docs.select("doc_id", "text")).collect()
     assert {r["doc_id"] for r in found if not r["kept"]} == {1, 2, 3, 4, 5}
+
+
+def test_words_of_a_text_are_hashed_once_for_anchors_and_lines(monkeypatch):
+    draw = random.Random(4)
+    words = ["a", "Bc", "\u03a3", "A\u03a3", "\u0130x", *(f"w{i}" for i in range(60))]
+    breaks = [" ", " ", " ", " ", "\t", "\r", "\x0b", "\x85", "\u2028", "\n", "\n\n", "\n \n"]
+    hashed, plain = [], paragraph_dedup.word_hashes
+    monkeypatch.setattr(paragraph_dedup, "word_hashes", lambda w: hashed.append(len(w)) or plain(w))
+    for n in (0, 1, 4, 5, 60, 400):
+        text = "".join(draw.choice(words) + draw.choice(breaks) for _ in range(n))
+        for least in (3, 12):
+            hashed.clear()
+            whole, lines = paragraph_dedup.text_parts(text, least)
+            assert hashed == [len(text.split())]
+            assert whole.tolist() == paragraph_dedup.word_shingles(text).tolist()
+            at, expected = 0, []
+            for line in (part.lower().split() for part in text.split("\n")):
+                if len(line) >= least:
+                    own = paragraph_dedup.unit(paragraph_dedup.LINE, at, at + len(line), len(line), paragraph_dedup.shingles([line])[0])
+                    expected.append(own | {"elements": own["elements"].tolist()})
+                at += len(line)
+            assert [u | {"elements": u["elements"].tolist()} for u in lines] == expected
+
+
+def test_copies_are_found_without_reading_texts_again(spark):
+    text, other = (" ".join(f"{c}{i}" for i in range(50)) for c in "ab")
+    rows = [(3, text), (1, text), (1, text), (None, text), (4, other), (4, other), (5, "short"), (6, "short"), (7, None), (8, "")]
+    found = paragraph_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string"))
+    # The result comes from stored tables; no text is digested or split in it.
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "sha2" not in plan and "regexp_extract_all" not in plan
+    got = sorted(((r["doc_id"], r["start"], r["stop"], r["n_words"], r["kept_doc_id"], r["kept"]) for r in found.collect()), key=str)
+    assert got == [(1, 0, 50, 50, None, False), (3, 0, 50, 50, None, False), (None, 0, 50, 50, None, True)]
