@@ -20,7 +20,9 @@ first occurrence (by document id, then place) stays, with what overlaps it; the
 How it scales: of every ``WINDOW`` shingles in a row the least by hash is an anchor, so all windows of a
 shared run have the same anchors.  Anchors are counted with partial sums, and only stretches
 long enough for ``min_words`` words whose anchors all repeat are spelled out, counted and joined, as short flat rows that
-come back sorted by document and place and are read as a stream.  A group that shares a band is not
+come back sorted by document and place and are read as a stream.  One pass over the texts gives anchors and lines.  Joins with
+counts are hashed, so a task holds the counts of its shuffle partition.  Each step is stored and
+lets go of its shuffle files before the next.  A group that shares a band is not
 spelled out in pairs: its members are compared inside a task, only across what is not yet
 connected, and a spanning forest is returned.  A group of more members than fit is dealt to
 all pairs of its parts, each of bounded size, so no pair is lost.
@@ -310,7 +312,6 @@ def copies(keys: DataFrame, copied: DataFrame, counted: DataFrame, min_words: in
     sized = counted.filter(F.col("n_words") >= min_words).withColumnRenamed("_key", "_sized")
     wanted = copied.join(sized, F.col("_key") == F.col("_sized")).drop("_sized")
     found = lookup_join(keys, stage(wanted, "copied-long"), F.col("_own") == F.col("_key"), "inner")
-    # Rows equal in id and text are one document.
     rows = found.select(
         "doc_id",
         "tie",
